@@ -304,11 +304,12 @@ def _(t):
         F.col("l_discount").alias("TN"),
         (F.col("l_orderkey") % 20 + 75).alias("DEP"),
     )
-    strings = csv_archive(t, rows, "weather", "gzip")
-    # The department is in the file name there; here each row brings its own.
-    typed = tables.normalise_weather(strings.select(*[c for c in strings.columns if c != "DEP"], "DEP"), F.lit("75"))
-    with_department = tables.normalise_weather(strings.withColumnRenamed("DEP", "DG"), F.lit(None).cast("string"))
-    return with_department.withColumn("departement", F.col("DG").cast("int").cast("string")).select(*typed.columns)
+    # One folder per department stands for one file per department.
+    path = scratch_folder(t.spark, "weather")
+    writer = rows.write.option("header", True).option("sep", ";").option("compression", "gzip")
+    writer.partitionBy("DEP").csv(path)
+    strings = archives.read_gzip_csv(t.spark, path, file_col="file")
+    return tables.normalise_weather(strings, F.regexp_extract("file", "DEP=([0-9]+)", 1))
 
 
 @entry("normalise_bulk", """

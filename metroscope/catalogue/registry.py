@@ -15,6 +15,8 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        # The tables hold wall-clock timestamps; the SQL side reads them as UTC.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

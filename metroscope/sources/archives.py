@@ -326,16 +326,23 @@ def parse_members(
 
 # -- plain readers ------------------------------------------------------------------------
 
-def read_delimited_text(spark: SparkSession, path, sep: str = ";", encoding: str = "UTF-8") -> DataFrame:
-    """Header CSV with every column as text. Files of one call must share a header."""
+def read_delimited_text(spark: SparkSession, path, sep: str = ";", encoding: str = "UTF-8", file_col: str | None = None) -> DataFrame:
+    """Header CSV with every column as text. Files of one call must share a header.
+
+    ``file_col`` adds the path of each row's file, for feeds that label rows by file name.
+    """
     reader = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
-    df = reader.option("sep", sep).option("encoding", encoding).option("escape", '"').csv(path)
-    return df.toDF(*[plain_name(c) for c in df.columns])
+    reader = reader.option("sep", sep).option("encoding", encoding).option("escape", '"')
+    df = reader.option("recursiveFileLookup", True).csv(path)
+    names = [plain_name(c) for c in df.columns]
+    if file_col:
+        return df.select("*", F.col("_metadata.file_path").alias(file_col)).toDF(*names, file_col)
+    return df.toDF(*names)
 
 
-def read_gzip_csv(spark: SparkSession, path, sep: str = ";", partitions: int | None = None) -> DataFrame:
+def read_gzip_csv(spark: SparkSession, path, sep: str = ";", partitions: int | None = None, file_col: str | None = None) -> DataFrame:
     """Gzip CSV. A gzip file is one task, so spread the rows before heavy work."""
-    df = read_delimited_text(spark, path, sep)
+    df = read_delimited_text(spark, path, sep, file_col=file_col)
     return df.repartition(partitions) if partitions else df
 
 

@@ -35,10 +35,10 @@ FLOW_PREFIX = "NBFLUX"
 
 def normalise_weather(strings: DataFrame, department: Column) -> DataFrame:
     """Daily weather per post. Unwanted columns are pruned before any cast."""
-    kept = prune_columns(strings, WEATHER_COLUMNS)
+    labelled = strings.withColumn("departement", department)
+    kept = prune_columns(labelled, (*WEATHER_COLUMNS, "departement"))
     measures = {c: lenient_double(F.col(c)) for c in WEATHER_MEASURES if c in kept.columns}
-    typed = kept.withColumns({**measures, "date": parse_compact_date(F.col("AAAAMMJJ")), "departement": department})
-    return typed.drop("AAAAMMJJ")
+    return kept.withColumns({**measures, "date": parse_compact_date(F.col("AAAAMMJJ"))}).drop("AAAAMMJJ")
 
 
 # -- bulk tables --------------------------------------------------------------------------
