@@ -51,13 +51,13 @@ def drifted(t: Tables):
 
 
 def archived(lines, kind: str, network: str, header, line, prefix: str):
-    """Yearly ZIPs, with every member repeated under a wrong year that must be skipped."""
+    """Yearly ZIPs; some lines also sit in a member of a wrong year, which must be skipped."""
     suffix = F.when(F.col("half") == "S1", f"_{kind}_{network}.txt").otherwise(f"_{kind}_{network} .txt")
+    right = F.concat("year", F.lit("_"), "half", suffix)
+    wrong = F.when(F.col("n") == 1, F.concat(F.lit("1066"), "half", F.lit(f"_{kind}_{network}.csv")))
     packed = lines.select(
         F.concat(F.lit(f"raw/{prefix}-"), "year", F.lit(".zip")).alias("path"),
-        F.explode(
-            F.array(F.concat("year", F.lit("_"), "half", suffix), F.concat(F.lit("1066"), "half", F.lit("_"), F.lit(f"{kind}_{network}.csv")))
-        ).alias("member"),
+        F.explode(F.array_compact(F.array(right, wrong))).alias("member"),
         header.alias("header"),
         "encoding",
         line.alias("line"),

@@ -41,7 +41,7 @@ def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             archives.setdefault(path, []).append((member, _encoded(header, lines, encoding)))
         for path, members in archives.items():
             buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as z:
                 z.writestr("folder/", b"")
                 z.writestr("older-archive.zip", b"PK")
                 for member, data in members:

@@ -9,25 +9,27 @@ from .text import strip
 
 LOCAL_ZONE = "Europe/Paris"
 
-# The shapes a day is published in.
-ISO_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
-LONG_YEAR_SHAPE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"
-SHORT_YEAR_SHAPE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}$"
+# The shapes a day is published in. Two-digit years turn at 69.
+ISO_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+LONG_YEAR_SHAPE = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$"
+SHORT_YEAR_SHAPE = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{2})$"
+LAST_CENTURY_SHAPE = r"^([0-9]{1,2})/([0-9]{1,2})/(69|[7-9][0-9])$"
 
 
 def parse_date_by_shape(c: Column) -> Column:
-    """Choose the date format from the shape of the text.
+    """Choose the date format from the shape of the text; any other shape is null.
 
-    Two-digit years pivot at 69 (``99`` is 1999), whereas Spark's ``yy`` always means 20xx.
+    The parts are put in ISO order and cast once. Format-driven parsers are several times
+    slower, raise and catch an exception per unreadable cell, and read every ``yy`` as 20xx.
     """
     s = strip(c)
-    short = F.try_to_date(s, "d/M/yy")
-    short = F.when(F.year(short) >= 2069, F.add_months(short, -1200)).otherwise(short)
-    return (
-        F.when(s.rlike(ISO_SHAPE), F.try_to_date(s, "yyyy-MM-dd"))
-        .when(s.rlike(LONG_YEAR_SHAPE), F.try_to_date(s, "d/M/yyyy"))
-        .when(s.rlike(SHORT_YEAR_SHAPE), short)
+    iso = (
+        F.when(s.rlike(ISO_SHAPE), s)
+        .when(s.rlike(LONG_YEAR_SHAPE), F.regexp_replace(s, LONG_YEAR_SHAPE, "$3-$2-$1"))
+        .when(s.rlike(LAST_CENTURY_SHAPE), F.regexp_replace(s, LAST_CENTURY_SHAPE, "19$3-$2-$1"))
+        .when(s.rlike(SHORT_YEAR_SHAPE), F.regexp_replace(s, SHORT_YEAR_SHAPE, "20$3-$2-$1"))
     )
+    return iso.try_cast("date")
 
 
 def offset_timestamp(c: Column) -> Column:

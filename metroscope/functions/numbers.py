@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip
+from .text import strip, without_spaces
 
 
 def lenient_long(c: Column) -> Column:
@@ -20,7 +20,7 @@ def lenient_double(c: Column) -> Column:
 
 def whole_count(c: Column) -> Column:
     """A count with any grouping spaces removed; masked text becomes null."""
-    return F.regexp_replace(c, r"(?U)\s", "").try_cast("bigint")
+    return without_spaces(c).try_cast("bigint")
 
 
 def decimal_comma(c: Column) -> Column:

@@ -12,10 +12,20 @@ STOP_POINT_PATTERN = r"StopPoint:Q:([0-9]+)"
 LINE_PATTERN = r"Line::([^:]+):"
 UNRECORDED = "?"
 
+# Fixed value: the characters Unicode counts as white space.
+SPACES = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 
 def strip(c: Column) -> Column:
     """Trim every Unicode space, non-breaking ones included."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(SPACES))
+
+
+def without_spaces(c: Column) -> Column:
+    return F.translate(c, SPACES, "")
 
 
 def canonical_name(name: str) -> str:

@@ -33,7 +33,10 @@ def with_cell(points: DataFrame, cell_m: float, lat: str = "lat", lon: str = "lo
 
 
 def with_touched_cells(centres: DataFrame, radius: Column, cell_m: float, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """One row per (centre, cell its circle may touch), the date line included."""
+    """A row per (centre, cell its circle may touch), the date line included.
+
+    A circle around a pole may list a cell twice, so aggregate the join's result.
+    """
     cell_deg = cell_m / METRES_PER_DEGREE
     reach = (radius + F.lit(1.0)) / F.lit(METRES_PER_DEGREE)
     bands = F.sequence(_band(F.col(lat) - reach, cell_deg), _band(F.col(lat) + reach, cell_deg))
@@ -51,7 +54,6 @@ def with_touched_cells(centres: DataFrame, radius: Column, cell_m: float, lat: s
         .withColumn("_band", F.explode(bands))
         .withColumn("_cell", F.explode(F.sequence(F.floor(F.col("_from") / width), F.floor(F.col("_to") / width))))
         .drop("_span", "_shift", "_from", "_to")
-        .distinct()
     )
 
 
@@ -67,7 +69,7 @@ def stations_near(
     radius: Column | float = 900.0,
     key: str = "venue_id",
     cell_m: float = 1500.0,
-    salts: int = 16,
+    salts: int = 8,
 ) -> DataFrame:
     """Stations within walking distance: one row per (centre, ZDC), nearest name and sorted lines.
 

@@ -283,30 +283,34 @@ def parse_members(
     separator: Callable[[Column], Column] | str = sniff_separator,
     rule: Callable[[str], str] = canonical_name,
     carry: Sequence[str] = ("path", "member"),
+    shapes: list[tuple[str, str, list[str]]] | None = None,
 ) -> DataFrame:
     """All members as one string table under canonical names, whatever their layouts.
 
-    One pass for every layout: each chunk's lines go through ``from_csv`` with the chunk's own
+    One pass for every layout: each line goes through ``from_csv`` with its chunk's own
     separator into positional cells, and a cell gets its name from the layout number. Short
-    rows are null-filled, long rows truncated, names missing in a layout null.
+    rows are null-filled, long rows truncated, names missing in a layout null. ``shapes`` are the
+    chunks' ``header_shapes`` when the caller has them already.
     """
-    shapes = header_shapes(chunks, separator, rule)
+    shapes = shapes if shapes is not None else header_shapes(chunks, separator, rule)
     if not shapes:
         return chunks.select(*carry).limit(0)
     width = max(len(names) for *_, names in shapes)
     cells = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
 
-    def records(sep: str) -> Column:
-        return F.transform("lines", lambda line: F.from_csv(line, cells.simpleString(), {"sep": sep, "escape": '"'}))
+    def record(sep: str) -> Column:
+        # A one-element array under ``inline``: the generator parses each line once, while plain
+        # field access on ``from_csv`` would parse it again for every column.
+        return F.array(F.from_csv("_line", cells.simpleString(), {"sep": sep, "escape": '"'}))
 
     layout = _case((F.col("header") == header, F.lit(i)) for i, (_, header, _) in enumerate(shapes))
-    separators = sorted({sep for sep, *_ in shapes})
-    parsed = _case((F.col("_sep") == sep, records(sep)) for sep in separators)
     sep_of = _case((F.col("_shape") == i, F.lit(sep)) for i, (sep, *_) in enumerate(shapes))
+    parsed = _case((F.col("_sep") == sep, record(sep)) for sep in sorted({sep for sep, *_ in shapes}))
     rows = (
         chunks.where(F.col("header").isNotNull())
         .withColumn("_shape", layout)
         .withColumn("_sep", sep_of)
+        .select(*carry, "_shape", "_sep", F.explode("lines").alias("_line"))
         .select(*carry, "_shape", F.inline(parsed))
     )
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.dates import parse_date_by_shape
 from ...functions.numbers import decimal_comma, lenient_long
 from ...functions.text import placeholder_to_null
 from ...operators import gates
-from ...operators.columns import masked_count
+from ...operators.columns import masked_count, union_drifted
 from ..archives import (
     MEMBER_PATTERN,
     classify_members,
@@ -19,7 +19,7 @@ from ..archives import (
     sniff_separator,
     stage,
 )
-from ..lake import PART, publish_partition, run_report
+from .jobs import publish_feed, report_notes
 
 # Fixed value: the year in an archive's file name.
 ARCHIVE_YEAR_PATTERN = r"([0-9]{4})\.zip$"
@@ -48,11 +48,11 @@ def skipped_members(chunks: DataFrame) -> DataFrame:
 def _strings(chunks: DataFrame, kind: str, network: str, needed) -> DataFrame:
     """Members of one kind and network as text, refused when a layout lacks a needed column."""
     chosen = chunks.where((F.col("status") == "ok") & (F.col("kind") == kind) & (F.col("network") == network))
-    for _, header, names in header_shapes(chosen, sniff_separator):
+    shapes = header_shapes(chosen, sniff_separator)
+    for _, header, names in shapes:
         if missing := gates.missing_columns(names, needed):
             raise gates.GateFailure(f"{network} {kind}: missing {missing} in header {header!r}")
-    carry = ("path", "member", "year", "period")
-    table = parse_members(chosen, carry=carry)
+    table = parse_members(chosen, carry=("path", "member", "year", "period"), shapes=shapes)
     return table.withColumnsRenamed({"year": "annee", "period": "periode"})
 
 
@@ -91,26 +91,30 @@ def normalise_profiles(chunks: DataFrame, network: str = RAIL) -> DataFrame:
     )
 
 
-def refresh(spark: SparkSession, files: DataFrame, lake: str, staging: str, source: str, network: str = RAIL) -> DataFrame:
-    """Raw archives -> gated, published partitions -> run report.
+def refresh(files: DataFrame, lake: str, staging: str, source: str = "idfm_validations", network: str = RAIL) -> DataFrame:
+    """Yearly archives -> gated, published counts and profiles -> run report.
 
-    Archives are expanded once into ``staging``; the typed rows are staged too, so the gates and
-    the publish read them instead of parsing twice.
+    Archives are expanded once into ``staging``; nothing is published when a gate fails.
     """
     chunks = stage(members(files), f"{staging}/members")
     normalise = normalise_rail_counts if network == RAIL else normalise_surface_counts
-    counts = stage(normalise(chunks), f"{staging}/counts")
-    gates.enforce(gates.gate_dates(counts, ["path", "member"]), f"{source} dates")
-    rows = counts.drop("path", "member")
-    table = f"{lake}/{source}"
-    if gates.gate_empty(rows):
-        publish_partition(rows, table, F.col("annee"))
-    if gates.gate_empty(chunks.where((F.col("kind") == "PROFIL") & (F.col("status") == "ok") & (F.col("network") == network))):
-        profiles = normalise_profiles(chunks, network).drop("path", "member")
-        publish_partition(profiles, f"{table}_profil", F.col("annee"))
-    return run_report(
-        rows.withColumn(PART, F.col("annee")),
-        source,
-        table,
-        {"masked counts preserved as null + flag": F.count_if("nb_vald_masked")},
-    )
+    of_network = (F.col("status") == "ok") & (F.col("network") == network)
+    reports = []
+    if gates.gate_empty(chunks.where(of_network & (F.col("kind") == "NB"))):
+        reports.append(
+            publish_feed(
+                normalise(chunks), source, lake, f"{staging}/counts", F.col("annee"),
+                checks=[lambda rows: gates.gate_dates(rows, ["path", "member"])],
+                notes=report_notes(source), drop=("path", "member"),
+            )
+        )
+    if gates.gate_empty(chunks.where(of_network & (F.col("kind") == "PROFIL"))):
+        reports.append(
+            publish_feed(
+                normalise_profiles(chunks, network), f"{source}_profil", lake, f"{staging}/profiles", F.col("annee"),
+                drop=("path", "member"),
+            )
+        )
+    if not reports:
+        raise gates.GateFailure(f"{source}: no member of network {network} recognised")
+    return union_drifted(reports)

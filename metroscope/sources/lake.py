@@ -55,26 +55,36 @@ def list_names(spark: SparkSession, path: str, folders: bool) -> list[str]:
 
 # -- scans ----------------------------------------------------------------------------------
 
-def scan_table(spark: SparkSession, table: str) -> DataFrame:
-    """All partitions as one relation, columns matched by name.
-
-    Partition labels stay text: inference would turn ``01`` into 1.
-    """
+def _read_parts(spark: SparkSession, table: str, folders: Iterable[str], merge: bool) -> DataFrame:
+    """Partition labels stay text: inference would turn ``01`` into 1."""
     key = "spark.sql.sources.partitionColumnTypeInference.enabled"
     before = spark.conf.get(key)
     spark.conf.set(key, "false")
     try:
-        return spark.read.option("mergeSchema", True).parquet(table)
+        return spark.read.option("mergeSchema", merge).option("basePath", table).parquet(*folders)
     finally:
         spark.conf.set(key, before)
 
 
+def scan_table(spark: SparkSession, table: str, merge: bool = True) -> DataFrame:
+    """All partitions as one relation, columns matched by name.
+
+    ``merge=False`` takes the columns from one file and skips the pass over all footers; right
+    when only counts are wanted or every partition was written by the same job.
+    """
+    return _read_parts(spark, table, [table], merge)
+
+
 def scan_partitions(spark: SparkSession, table: str, parts: Iterable[str]) -> DataFrame:
-    """Only the named partitions; an error when none of them exists. Prunes directories."""
-    parts = list(parts)
-    if not any(path_exists(spark, f"{table}/{PART}={p}") for p in parts):
-        raise FileNotFoundError(f"no partitions for {parts} in {table}")
-    return scan_table(spark, table).where(F.col(PART).isin(parts))
+    """Only the named partitions; an error when none of them exists.
+
+    Other partitions are not even listed, so their footers are not merged.
+    """
+    folders = [f"{table}/{PART}={p}" for p in parts]
+    present = [f for f in folders if path_exists(spark, f)]
+    if not present:
+        raise FileNotFoundError(f"none of {folders} exists")
+    return _read_parts(spark, table, present, merge=True)
 
 
 def scan_reference_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
@@ -224,7 +234,7 @@ def lake_status(spark: SparkSession, lake: str) -> DataFrame:
     """Per source: partitions, rows and megabytes. No data column is read."""
     def one(source: str) -> DataFrame:
         per_file = (
-            scan_table(spark, f"{lake}/{source}")
+            scan_table(spark, f"{lake}/{source}", merge=False)
             .groupBy(PART, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_size").alias("_size"))
             .agg(F.count(F.lit(1)).alias("_rows"))
         )
@@ -246,5 +256,5 @@ def idempotency_check(df: DataFrame, table: str) -> DataFrame:
     publish_partition(df, table)
     publish_partition(df, table)
     handed = df.groupBy(F.col(PART).cast("string").alias(PART)).agg(F.count(F.lit(1)).alias("handed"))
-    stored = scan_table(df.sparkSession, table).groupBy(PART).agg(F.count(F.lit(1)).alias("stored"))
+    stored = scan_table(df.sparkSession, table, merge=False).groupBy(PART).agg(F.count(F.lit(1)).alias("stored"))
     return handed.join(stored, PART, "full")
