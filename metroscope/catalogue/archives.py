@@ -160,7 +160,7 @@ def _(t):
     )
     path = raw.write_text(raw.as_json_arrays(records), scratch_folder(t.spark, "json"))
     schema = "id bigint, kind string, point struct<lat:bigint>, absent string"
-    return archives.read_json_records(t.spark, path, schema).select("id", "kind", "point.lat")
+    return archives.read_json_records(t.spark, path, schema, array_per_line=True).select("id", "kind", "point.lat")
 
 
 @entry("scan_reference_csv", """

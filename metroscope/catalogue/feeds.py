@@ -133,7 +133,7 @@ def _(t):
 
 def json_archive(t: Tables, records, label: str, schema: str):
     path = raw.write_text(raw.as_json_arrays(records), scratch_folder(t.spark, label))
-    return archives.read_json_records(t.spark, path, schema)
+    return archives.read_json_records(t.spark, path, schema, array_per_line=True)
 
 
 def csv_archive(t: Tables, rows, label: str, compression: str = "none"):

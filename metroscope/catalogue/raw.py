@@ -91,21 +91,13 @@ def with_header(lines: DataFrame, header: str) -> DataFrame:
 
 
 def as_json_arrays(records: DataFrame) -> DataFrame:
-    """One JSON array of records per file that will be written."""
+    """One line per Arrow batch of records: a JSON array."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield _value_batch(["["])
-        separator = ""
         for batch in batches:
-            values = []
-            for value in batch.column(0).to_pylist():
-                values.append(separator + value)
-                separator = ","
-            yield _value_batch(values)
-        yield _value_batch(["]"])
-
-    rows = records.select(F.to_json(F.struct(*records.columns)).alias("value"))
-    return rows.mapInArrow(emit, "value string")
+            yield _value_batch(["[" + ",".join(batch.column(0).to_pylist()) + "]"])
+
+    return records.select(F.to_json(F.struct(*records.columns)).alias("value")).mapInArrow(emit, "value string")
 
 
 def write_text(lines: DataFrame, path: str, compression: str = "none") -> str:

@@ -2,7 +2,7 @@
 
 Every point falls into exactly one cell of a latitude/longitude grid. A centre lists the few
 cells its circle touches, so the join is an equi join on the cell, followed by the exact
-distance. Cells of a crowded place are split by a salt, so one hot cell is never one task.
+distance.
 """
 
 from __future__ import annotations
@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_RADIUS_M, haversine_m
 
+# A probe row is under 100 bytes, so this many are about 10 MB: the most that is ever broadcast.
+BROADCAST_PROBES = 100_000
+
 METRES_PER_DEGREE = EARTH_RADIUS_M * 3.141592653589793 / 180.0
 
 
@@ -70,11 +73,14 @@ def stations_near(
     key: str = "venue_id",
     cell_m: float = 1500.0,
     salts: int = 8,
+    broadcast_probes: int = BROADCAST_PROBES,
 ) -> DataFrame:
     """Stations within walking distance: one row per (centre, ZDC), nearest name and sorted lines.
 
     ``centres`` has (key, lat, lon[, radius_m]); ``stations`` has (id_ref_zdc, nom_zdc, res_com,
-    lat, lon). Copies of one platform are folded together before the join.
+    lat, lon). Copies of one platform are folded together before the join. The centres' cells are
+    broadcast when a count shows that they are few; otherwise both sides are shuffled by cell,
+    crowded cells spread over ``salts`` tasks.
     """
     radius = radius if isinstance(radius, Column) else F.lit(float(radius))
     places = (
@@ -82,13 +88,17 @@ def stations_near(
         .groupBy("id_ref_zdc", F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"))
         .agg(F.min("nom_zdc").alias("nom_zdc"), F.collect_set("res_com").alias("_lines"))
     )
-    places = with_cell(places, cell_m, "s_lat", "s_lon").withColumn(
-        "_salt", F.pmod(F.xxhash64("id_ref_zdc", "s_lat", "s_lon"), F.lit(salts)).cast("int")
-    )
+    places = with_cell(places, cell_m, "s_lat", "s_lon")
     probes = with_touched_cells(
         centres.select(key, "lat", "lon", radius.cast("double").alias("_radius")), F.col("_radius"), cell_m
-    ).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    near = filter_within_radius(probes.join(places, ["_band", "_cell", "_salt"]), F.col("_radius"))
+    )
+    if probes.limit(broadcast_probes + 1).count() <= broadcast_probes:
+        pairs = places.join(F.broadcast(probes), ["_band", "_cell"])
+    else:
+        salt = F.pmod(F.xxhash64("id_ref_zdc", "s_lat", "s_lon"), F.lit(salts)).cast("int")
+        salted = probes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        pairs = places.withColumn("_salt", salt).join(salted.hint("merge"), ["_band", "_cell", "_salt"])
+    near = filter_within_radius(pairs, F.col("_radius"))
     return (
         near.groupBy(key, "id_ref_zdc")
         .agg(

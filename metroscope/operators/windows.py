@@ -13,13 +13,15 @@ def percentile_rank_average(df: DataFrame, value: str, by: Sequence[str] = (), n
     """Average-tie rank of ``value`` within its group, as a percentage of the group.
 
     Meant for series at day grain, where a group is one venue's calendar (thousands of rows
-    at most), however many raw counts stand behind each day. The tie count and the rank share
-    one sort by (group, value).
+    at most), however many raw counts stand behind each day. Ties are the peers of the current
+    row, so rank, ties and size share one shuffle and one sort.
     """
-    ties = F.count(F.lit(1)).over(Window.partitionBy(*by, value))
-    rank = F.rank().over(Window.partitionBy(*by).orderBy(value))
-    size = F.count(F.lit(1)).over(Window.partitionBy(*by))
-    return df.withColumn(name, (rank + (ties - F.lit(1)) / F.lit(2.0)) / size * F.lit(100.0))
+    group = Window.partitionBy(*by)
+    ordered = group.orderBy(value)
+    ties = F.count(F.lit(1)).over(ordered.rangeBetween(Window.currentRow, Window.currentRow))
+    size = F.count(F.lit(1)).over(group)
+    average_rank = F.rank().over(ordered) + (ties - F.lit(1)) / F.lit(2.0)
+    return df.withColumn(name, average_rank / size * F.lit(100.0))
 
 
 def dedupe_on_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:

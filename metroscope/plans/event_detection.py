@@ -73,8 +73,11 @@ def join_baseline(series: DataFrame, baseline: DataFrame, by: Sequence[str] = VE
 def with_dow_baseline(series: DataFrame, by: Sequence[str] = VENUE) -> DataFrame:
     """``dow_baseline`` and ``join_baseline`` of a series with itself, as one window.
 
-    A self join would read the counts twice; the window reads them once.
+    A self join would read the counts twice; the window reads them once. Calendars are hashed
+    by venue here, which serves this window and the ranking after it with one shuffle.
     """
+    if by:
+        series = series.repartition(*by)
     weekday = Window.partitionBy(*by, "year", "dow")
     usable = F.when(~F.col("month").isin(*BASELINE_EXCLUDED_MONTHS), F.col("validations"))
     scored = calendar_parts(series).withColumn("dow_median", F.median(usable).over(weekday))

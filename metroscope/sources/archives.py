@@ -214,12 +214,12 @@ def sniff_separator(header: Column) -> Column:
 
 def sniff_widest_separator(header: Column) -> Column:
     """The most frequent of ``; , TAB |``; the first of them among equals."""
-    counts = [(_occurrences(header, s), s) for s in (";", ",", "\t", "|")]
-    most = F.greatest(*[n for n, _ in counts])
-    choice = F.when(counts[0][0] == most, counts[0][1])
-    for n, s in counts[1:]:
-        choice = choice.when(n == most, s)
-    return choice
+    candidates = (";", ",", "\t", "|")
+    scored = [
+        F.struct(_occurrences(header, s).alias("n"), F.lit(-i).alias("rank"), F.lit(s).alias("sep"))
+        for i, s in enumerate(candidates)
+    ]
+    return F.array_max(F.array(*scored))["sep"]
 
 
 def classify_members(members: DataFrame, expected_year: Column | None = None, name: str = "member") -> DataFrame:
@@ -350,6 +350,30 @@ def read_gzip_csv(spark: SparkSession, path, sep: str = ";", partitions: int | N
     return df.repartition(partitions) if partitions else df
 
 
-def read_json_records(spark: SparkSession, path, schema: T.StructType | str) -> DataFrame:
-    """Arrays of records under a fixed schema; absent keys are null."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def _variant_field(root: str, path: str, kind: T.DataType) -> Column:
+    """A field of a JSON value under a type; null when absent or of another type."""
+    if isinstance(kind, T.StructType):
+        return F.struct(*[_variant_field(root, f"{path}.{f.name}", f.dataType).alias(f.name) for f in kind])
+    return F.try_variant_get(root, path, kind.simpleString())
+
+
+def json_elements(text: Column) -> Column:
+    """The elements of a JSON array as variants; null when the text is not an array.
+
+    Parsed once, in time linear in the text. ``from_json`` on a long array searches the text
+    from its start for every number read as text.
+    """
+    return F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
+
+
+def read_json_records(spark: SparkSession, path, schema: T.StructType | str, array_per_line: bool = False) -> DataFrame:
+    """Arrays of records under a fixed schema; absent keys are null, unreadable text is an error.
+
+    A file is one array (a poll or a paged reference, megabytes); ``array_per_line`` reads files
+    with an array on every line, which Spark can split.
+    """
+    record = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    text = spark.read.text(path, wholetext=not array_per_line, recursiveFileLookup=True)
+    unreadable = F.raise_error(F.concat(F.lit("not an array of records: "), F.substring("value", 1, 100)))
+    records = text.select(F.explode(F.coalesce(json_elements(F.col("value")), unreadable)).alias("_r"))
+    return records.select(*[_variant_field("_r", f"$.{f.name}", f.dataType).alias(f.name) for f in record])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ...functions.dates import offset_timestamp_to_local_date, parse_date_or_timestamp
 from ...functions.geo import null_island
+from ...functions.numbers import lenient_double
 from ...functions.text import tags_text
 from ...operators.columns import explode_json_map
 
@@ -17,7 +18,7 @@ SCHOOL_RECORD = (
 EVENT_RECORD = (
     "id string, title string, url string, lead_text string, date_start string, date_end string, "
     "occurrences string, date_description string, address_name string, address_street string, "
-    "address_zipcode string, address_city string, lat_lon struct<lat:double,lon:double>, audience string, "
+    "address_zipcode string, address_city string, lat_lon struct<lat:string,lon:string>, audience string, "
     "price_type string, access_type string, updated_at string, qfap_tags string"
 )
 # Fixed value: published columns of a city event, in order.
@@ -43,7 +44,7 @@ def normalise_school_holidays(records: DataFrame) -> DataFrame:
 
 def normalise_city_events(records: DataFrame, snapshot_date: Column) -> DataFrame:
     """Event records (``EVENT_RECORD``); ``qfap_tags`` is a list or a plain text."""
-    lat, lon = null_island(F.col("lat_lon.lat"), F.col("lat_lon.lon"))
+    lat, lon = null_island(lenient_double(F.col("lat_lon.lat")), lenient_double(F.col("lat_lon.lon")))
     typed = records.withColumns(
         {
             "lat": lat,

@@ -76,11 +76,13 @@ def normalise_bike_docks(records: DataFrame, polled_at: Column) -> DataFrame:
 # -- disruptions --------------------------------------------------------------------------
 
 def disruption_messages(payloads: DataFrame, json_col: str = "payload") -> DataFrame:
-    """One row per message object of a poll body ``{"disruptions": [...]}`` or ``[...]``."""
-    body = F.col(json_col)
-    listed = F.when(F.ltrim(body).startswith("["), body).otherwise(F.get_json_object(body, "$.disruptions"))
+    """One row per disruption object of a poll body ``{"disruptions": [...]}`` or ``[...]``."""
+    body = F.try_parse_json(json_col)
+    listed = F.coalesce(
+        F.try_variant_get(body, "$.disruptions", "array<variant>"), F.try_variant_get(body, "$", "array<variant>")
+    )
     others = [c for c in payloads.columns if c != json_col]
-    return payloads.select(*others, F.explode(F.from_json(listed, "array<string>")).alias("raw"))
+    return payloads.select(*others, F.explode(listed).alias("_m")).select(*others, F.to_json("_m").alias("raw"))
 
 
 def flatten_disruptions(messages: DataFrame, json_col: str = "raw") -> DataFrame:

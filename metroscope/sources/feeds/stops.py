@@ -13,7 +13,7 @@ from ...operators.gates import REQUIRED_PERIMETER, gate_required_columns
 
 STATION_RECORD = (
     "nom_gares string, nom_zdc string, id_ref_zdc string, id_ref_zda string, res_com string, "
-    "mode string, exploitant string, geo_point_2d struct<lat:double,lon:double>"
+    "mode string, exploitant string, geo_point_2d struct<lat:string,lon:string>"
 )
 # Fixed value: published columns of the perimeter, in order.
 PERIMETER_COLUMNS = (
@@ -24,7 +24,8 @@ PERIMETER_COLUMNS = (
 def normalise_stations(records: DataFrame) -> DataFrame:
     """Station records (``STATION_RECORD``) with the nested coordinate lifted out."""
     flat = flatten_struct(records, "geo_point_2d", ("lat", "lon"))
-    return flat.withColumns({c: lenient_long(F.col(c)) for c in ("id_ref_zdc", "id_ref_zda")})
+    ids = {c: lenient_long(F.col(c)) for c in ("id_ref_zdc", "id_ref_zda")}
+    return flat.withColumns({**ids, **{c: lenient_double(F.col(c)) for c in ("lat", "lon")}})
 
 
 def normalise_stop_points(strings: DataFrame) -> DataFrame:

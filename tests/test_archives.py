@@ -154,3 +154,17 @@ def test_accident_files(spark, tmp_path):
     assert got == [("1", "75", "2021"), ("3", "94", "2018")]
     assert tables.normalise_accidents(chunks, "caracteristiques", region_only=False).count() == 3
     assert tables.normalise_accidents(chunks, "usagers").first().trajet == "5"
+
+
+def test_json_records(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[\n {"id": 1, "n": 12, "p": {"lat": 1.5}},\n {"id": "2", "n": "?"}\n]')
+    (tmp_path / "b.json").write_text("[]")
+    schema = "id string, n string, p struct<lat:double>, absent string"
+    got = archives.read_json_records(spark, str(tmp_path), schema)
+    assert sorted((r.id, r.n, r.p and r.p.lat, r.absent) for r in got.collect()) == [("1", "12", 1.5, None), ("2", "?", None, None)]
+
+
+def test_unreadable_json_is_an_error(spark, tmp_path):
+    (tmp_path / "a.json").write_text("<html>busy</html>")
+    with pytest.raises(Exception, match="not an array of records"):
+        archives.read_json_records(spark, str(tmp_path), "id string").collect()
