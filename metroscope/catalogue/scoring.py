@@ -75,9 +75,14 @@ def wanted_by_rule(df):
 
 @entry("daily_series", """
 SELECT CAST(l_shipdate AS date) AS jour, CAST(SUM(CAST(l_quantity AS bigint)) AS bigint) AS validations
-FROM lineitem WHERE l_suppkey IN (1, 13, 25, 37) AND l_quantity >= 5 GROUP BY 1""")
-def _(t):
-    return ed.daily_series(counts(t), [1, 13, 25, 37])
+FROM lineitem WHERE l_quantity >= 5 AND l_suppkey IN (
+  SELECT s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  WHERE r_name IN ('EUROPE', 'ASIA')) GROUP BY 1""")
+def _(t):
+    region = t.region.where(F.col("r_name").isin("EUROPE", "ASIA"))
+    nation = t.nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
+    stations = t.supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left_semi")
+    return ed.daily_series(counts(t), stations.select("s_suppkey"))
 
 
 @entry("filter_ids_not_null", """

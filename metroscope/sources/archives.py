@@ -366,14 +366,24 @@ def json_elements(text: Column) -> Column:
     return F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
 
 
-def read_json_records(spark: SparkSession, path, schema: T.StructType | str, array_per_line: bool = False) -> DataFrame:
+def read_json_payloads(spark: SparkSession, path, file_col: str = "file") -> DataFrame:
+    """Whole JSON bodies with the path of their file: (file, payload). One poll is one file."""
+    text = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    return text.select(F.col("_metadata.file_path").alias(file_col), F.col("value").alias("payload"))
+
+
+def read_json_records(
+    spark: SparkSession, path, schema: T.StructType | str, array_per_line: bool = False, file_col: str | None = None
+) -> DataFrame:
     """Arrays of records under a fixed schema; absent keys are null, unreadable text is an error.
 
     A file is one array (a poll or a paged reference, megabytes); ``array_per_line`` reads files
-    with an array on every line, which Spark can split.
+    with an array on every line, which Spark can split. ``file_col`` adds the file's path.
     """
     record = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     text = spark.read.text(path, wholetext=not array_per_line, recursiveFileLookup=True)
     unreadable = F.raise_error(F.concat(F.lit("not an array of records: "), F.substring("value", 1, 100)))
-    records = text.select(F.explode(F.coalesce(json_elements(F.col("value")), unreadable)).alias("_r"))
-    return records.select(*[_variant_field("_r", f"$.{f.name}", f.dataType).alias(f.name) for f in record])
+    origin = [F.col("_metadata.file_path").alias(file_col)] if file_col else []
+    records = text.select(*origin, F.explode(F.coalesce(json_elements(F.col("value")), unreadable)).alias("_r"))
+    kept = [file_col] if file_col else []
+    return records.select(*kept, *[_variant_field("_r", f"$.{f.name}", f.dataType).alias(f.name) for f in record])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ...operators import gates
 from ..archives import index_archive, stage
-from ..lake import PART, append_manifest, publish_partition, run_report, scan_manifest, skip_known_digest
+from ..lake import PART, append_manifest, publish_partition, publish_snapshot, run_report, scan_manifest, skip_known_digest
 
 Gate = Callable[[DataFrame], DataFrame]
 
@@ -43,12 +43,14 @@ def publish_feed(
     checks: Iterable[Gate] = (),
     notes: Mapping[str, Column] | None = None,
     drop: Iterable[str] = (),
+    immutable: bool = False,
 ) -> DataFrame:
     """Gate and publish typed rows, and report what was written.
 
     Rows are staged once, so that gates, publish and report never parse raw files again. A
     failing gate raises before anything is published. ``drop`` names columns only the gates
-    need. An empty frame publishes nothing and reports nothing.
+    need. ``immutable`` keeps partitions that exist already, as snapshots demand. An empty frame
+    publishes nothing and reports nothing.
     """
     label = part if isinstance(part, Column) else F.lit(part)
     staged = stage(rows.withColumn(PART, label), staging)
@@ -57,7 +59,10 @@ def publish_feed(
     published = staged.drop(*drop)
     table = f"{lake}/{source}"
     if gates.gate_empty(published):
-        publish_partition(published, table)
+        if immutable:
+            publish_snapshot(published, table, PART)
+        else:
+            publish_partition(published, table)
     return run_report(published, source, table, notes)
 
 

@@ -157,10 +157,10 @@ def normalise_commuting_matrix(strings: DataFrame, vintage: str | Column, both_e
     )
 
 
-def commuting_strings(files: DataFrame) -> DataFrame:
+def commuting_strings(files: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """The CSV member of each vintage's ZIP."""
     chunks = expand_archive(files, wanted=r"(?i)\.csv$")
-    return parse_members(chunks, separator=";", rule=plain_name, carry=())
+    return parse_members(chunks, separator=";", rule=plain_name, carry=carry)
 
 
 # -- roads --------------------------------------------------------------------------------
