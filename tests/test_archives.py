@@ -135,6 +135,12 @@ def test_ragged_and_quoted_rows(spark, tmp_path):
     ]
 
 
+def test_empty_cells_are_null_quoted_or_not(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('a;b;c\n"";;x\n')
+    chunks = archives.expand_archive(archives.raw_files(spark, str(tmp_path), "*.csv"))
+    assert tuple(archives.parse_members(chunks, separator=";", carry=()).first()) == (None, None, "x")
+
+
 def test_layouts_of_one_feed_are_one_table(spark, tmp_path):
     (tmp_path / "1.csv").write_text("a;b\n1;2\n")
     (tmp_path / "2.csv").write_text("b\ta\tc\n4\t3\t5\n")
