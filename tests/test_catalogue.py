@@ -24,7 +24,8 @@ def test_query_equals_sql(spark, con, key):
 def test_contract(spark):
     import __spark_entry__ as contract
 
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
     scored = contract.entry(spark)
     assert scored.columns == ["venue_id", "jour", "validations", "dow_median", "excess", "ratio", "pctile"]
     assert scored.count() > 0
