@@ -1,19 +1,22 @@
 """N-gram Jaccard self-join with prefix filters under several global token orders.
 
-Two sets with Jaccard similarity t or more share a token among the first n - ceil(t n) + 1 tokens of
-each, whatever global order sorts the tokens. Under an order that puts rare tokens first such a
-prefix is rarely shared by chance; under several different orders at once even less.
+Two sets x and y with Jaccard similarity t or more share at least min(l(x), l(y)) tokens of their
+prefixes, where x's prefix is its first |x| - ceil(t |x|) + l(x) tokens under any global order: at most
+|x| - |x & y| <= |x| - ceil(t |x|) of them lie in x alone. Here l is a quarter of the plain prefix, plus one.
+Under an order that puts rare tokens first so many tokens are rarely shared by chance; under several
+different orders at once even less.
 
 1. One pass hashes every text to its shingle set and counts the shingles that repeat within a batch.
    The counts give each shingle a frequency level, kept in a table of fixed size. Equal sets are one
    node from here on, so copies cost nothing further.
 2. A second pass groups the first order's prefixes by token. Tokens met in one node only cannot make
    a candidate; the others are marked in a bitmap of fixed size.
-3. A third pass emits the sets of the nodes whose prefix holds a marked token: the active nodes.
+3. A third pass emits the active nodes: those whose prefix holds as many marked tokens as a partner
+   of the smallest possible size must share.
 4. Each token's smallest node is its hub. All candidates that share a token share its hub, so the
    hub's group (each node once, however many tokens it shares) holds every candidate pair.
 5. Groups are verified in bounded blocks: first everything against the hub, then what the hub did
-   not link against the whole group. A pair is verified if its prefixes meet under all orders.
+   not link against the whole group. A pair is verified if its prefixes share enough under all orders.
    Nodes that the hub links belong together already, so no pair between them is looked at and no
    pair is ever a row; only links that join parts come out.
 6. Components of the links.
@@ -42,8 +45,13 @@ BLOCK_BYTES = 8 << 20
 SEEDS = (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x2545F4914F6CDD1D)
 
 
+def least_shared(n: int, percent: int) -> int:
+    """l(n): prefix tokens that a set of ``n`` tokens shares with a linked set of this or a larger size."""
+    return 1 + (n - (percent * n + 99) // 100) // 4
+
+
 def prefix_length(n: int, percent: int) -> int:
-    return n - (percent * n + 99) // 100 + 1
+    return n - (percent * n + 99) // 100 + least_shared(n, percent)
 
 
 def ordered_prefix(tokens: np.ndarray, levels: np.ndarray, order: int, percent: int) -> np.ndarray:
@@ -163,7 +171,7 @@ def _marks(postings: DataFrame) -> bytes:
 
 
 def _active(docs: DataFrame, levels: bytes, marks: bytes, percent: int, size: int) -> DataFrame:
-    """(node, shared, tokens): nodes whose first prefix holds marked tokens, with those and the whole set."""
+    """(node, shared, tokens): nodes whose first prefix holds enough marked tokens, with those and the whole set."""
 
     def run(batches):
         table, bits = np.frombuffer(levels, dtype=np.uint8), np.frombuffer(marks, dtype=np.uint64)
@@ -176,7 +184,8 @@ def _active(docs: DataFrame, levels: bytes, marks: bytes, percent: int, size: in
                 prefix = ordered_prefix(own, table, 0, percent)
                 place = prefix >> np.uint64(64 - MARK_BITS)
                 prefix = prefix[(bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0]
-                if len(prefix) and (node := _node(own)) not in seen:
+                smallest = (percent * len(own) + 99) // 100
+                if len(prefix) >= least_shared(smallest, percent) and (node := _node(own)) not in seen:
                     seen.add(node)
                     for values, value in zip(out, (node, prefix.view(np.int64), own.tobytes())):
                         values.append(value)
@@ -259,7 +268,8 @@ class _Index:
 
 def linked_pairs(asking, answering, levels: np.ndarray, percent: int, orders: int):
     """(index of an asking set, indices of the answering sets linked with it), exact."""
-    lengths = np.array([len(s) for s in answering])
+    lengths = np.array([len(s) for s in answering], dtype=np.int64)
+    least = np.array([least_shared(n, percent) for n in lengths], dtype=np.int64)
     prefixes = [_Index([ordered_prefix(s, levels, k, percent) for s in answering]) for k in range(orders)]
     whole = _Index(answering)
     for q, tokens in enumerate(asking):
@@ -267,7 +277,7 @@ def linked_pairs(asking, answering, levels: np.ndarray, percent: int, orders: in
         near = (100 * lengths >= percent * n) & (percent * lengths <= 100 * n)
         for k in range(orders):
             if near.any():
-                near &= prefixes[k].shared(ordered_prefix(tokens, levels, k, percent)) > 0
+                near &= prefixes[k].shared(ordered_prefix(tokens, levels, k, percent)) >= np.minimum(least, least_shared(n, percent))
         if near.any():
             both = whole.shared(tokens)
             hits = np.flatnonzero(near & (100 * both >= percent * (n + lengths - both)))
