@@ -46,3 +46,13 @@ pairs AS (
 ), least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, component_id FROM sets JOIN least USING (doc_id)
 """
+
+
+@query
+def op6_decision_lists(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .decision_lists import quality_verdicts
+
+    verdicts, _ = quality_verdicts(documents(spark, folder), labels(spark, folder), F.struct("doc_id"))
+    return verdicts.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
