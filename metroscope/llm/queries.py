@@ -56,3 +56,13 @@ def op6_decision_lists(spark: SparkSession, folder: str) -> DataFrame:
 
     verdicts, _ = quality_verdicts(documents(spark, folder), labels(spark, folder), F.struct("doc_id"))
     return verdicts.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .secret_scan import find_secrets
+
+    return find_secrets(documents(spark, folder), F.struct("doc_id"), rate=0.01, level=0.001).select(
+        "row.doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
