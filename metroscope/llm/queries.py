@@ -27,12 +27,12 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 # Every pair that shares a shingle is counted, then components by repeated minima.
 ORACLES["op10_ngram_jaccard_join"] = r"""
 WITH RECURSIVE split AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') AS words
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
   FROM documents
 ), sets AS (
   SELECT doc_id, CASE WHEN len(words) = 0 THEN []
     WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(words) - 3), i -> array_to_string(words[i:i + 4], ' '))) END AS grams
+    ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS grams
   FROM split
 ), tokens AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM sets),
 pairs AS (
@@ -66,3 +66,46 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
     return find_secrets(documents(spark, folder), F.struct("doc_id"), rate=0.01, level=0.001).select(
         "row.doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
+
+
+#: Target parts of the mix: the rest of the sources have MIX_DEFAULT parts each.
+MIX_PARTS = {"src0": 6, "src1": 3, "src2": 3}
+MIX_DEFAULT = 2
+MIX_BLOCK = 65_536
+
+
+@query
+def op2_pfair_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .mixing import mixed
+
+    placed, _ = mixed(documents(spark, folder), F.struct("doc_id"), MIX_PARTS, MIX_DEFAULT, MIX_BLOCK)
+    return placed.select("row.doc_id", "source", "block", "slot", "release", "deadline")
+
+
+# The schedule is played slot by slot: among the released blocks not yet served, the earliest deadline.
+ORACLES["op2_pfair_mixing"] = r"""
+WITH RECURSIVE parts AS (
+  SELECT source, CASE source WHEN 'src0' THEN 6 WHEN 'src1' THEN 3 WHEN 'src2' THEN 3 ELSE 2 END AS k FROM (SELECT DISTINCT source FROM documents)
+), total AS (SELECT sum(k) AS q FROM parts),
+jobs AS (
+  SELECT source, k, q, j, j * q // k AS release,
+    ((j + 1) * q + k - 1) // k AS deadline
+  FROM (SELECT source, k, unnest(range(k)) AS j FROM parts), total
+), ranked AS (SELECT *, row_number() OVER (ORDER BY deadline, source, j) AS id FROM jobs),
+play(slot, served) AS (
+  SELECT CAST(-1 AS BIGINT), CAST([] AS BIGINT[])
+  UNION ALL
+  SELECT slot + 1, list_append(served, (SELECT min(id) FROM ranked WHERE release <= slot + 1 AND NOT list_contains(served, id)))
+  FROM play WHERE slot + 1 < (SELECT q FROM total)
+), served AS (SELECT slot, served[len(served)] AS id FROM play WHERE slot >= 0),
+streams AS (
+  SELECT doc_id, source, coalesce(sum(length(coalesce(text, ''))) OVER (
+    PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)), md5(coalesce(text, '')) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM documents
+), blocks AS (SELECT doc_id, s.source, CAST(before // 65536 AS BIGINT) AS block, k, q FROM streams s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source, total)
+SELECT b.doc_id, b.source, b.block, CAST(b.block // b.k * b.q + s.slot AS BIGINT) AS slot,
+  CAST(b.block // b.k * b.q + r.release AS BIGINT) AS release, CAST(b.block // b.k * b.q + r.deadline AS BIGINT) AS deadline
+FROM blocks b JOIN ranked r ON r.source IS NOT DISTINCT FROM b.source AND r.j = b.block % b.k JOIN served s ON s.id = r.id
+"""
