@@ -109,3 +109,19 @@ SELECT b.doc_id, b.source, b.block, CAST(b.block // b.k * b.q + s.slot AS BIGINT
   CAST(b.block // b.k * b.q + r.release AS BIGINT) AS release, CAST(b.block // b.k * b.q + r.deadline AS BIGINT) AS deadline
 FROM blocks b JOIN ranked r ON r.source IS NOT DISTINCT FROM b.source AND r.j = b.block % b.k JOIN served s ON s.id = r.id
 """
+
+
+@query
+def op4_bit_planes(spark: SparkSession, folder: str) -> DataFrame:
+    from .bitplanes import read_digests, write_blocks
+    from .tokens import vocabulary
+
+    return read_digests(write_blocks(documents(spark, folder), vocabulary("word_bpe_49k.json"), end_id=2))
+
+
+@query
+def op8_hierarchical_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from .packing import packed
+    from .tokens import vocabulary
+
+    return packed(documents(spark, folder), vocabulary("byte_bpe_50k.json"), end_id=0)
