@@ -14,7 +14,8 @@ different orders at once even less.
 3. A third pass emits the active nodes: those whose prefix holds as many marked tokens as a partner
    of the smallest possible size must share.
 4. Each token's smallest node is its hub. All candidates that share a token share its hub, so the
-   hub's group (each node once, however many tokens it shares) holds every candidate pair.
+   hub's group (each node once, however many tokens it shares) holds every candidate pair. Only the
+   marked tokens travel at first: a member stays if some other member of a fitting size shares enough of them.
 5. Groups are verified in bounded blocks: first everything against the hub, then what the hub did
    not link against the whole group. A pair is verified if its prefixes share enough under all orders.
    Nodes that the hub links belong together already, so no pair between them is looked at and no
@@ -38,8 +39,8 @@ from .components import connected_components
 from .storage import staged
 from .words import mix, shingle_set
 
-LEVEL_BITS = 22
-LEVEL_TOKENS = 1 << 19
+LEVEL_BITS = 23
+LEVEL_TOKENS = 1 << 20
 MARK_BITS = 26
 BLOCK_BYTES = 8 << 20
 SEEDS = (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x2545F4914F6CDD1D)
@@ -200,8 +201,10 @@ def _links(active: DataFrame, levels: bytes, percent: int, orders: int) -> DataF
     """(a, b) links that join all nodes which any chain of links joins."""
     postings = active.select(F.explode("shared").alias("token"), "node")
     members = staged(postings.join(_shared(postings), "token").select("hub", "node").distinct(), "groups")
+    marked = active.select("node", "shared", (F.length("tokens") / 8).cast("int").alias("n"))
+    members = staged(_with_partner(members, marked.groupBy("node").agg(F.first("shared").alias("shared"), F.first("n").alias("n")), percent), "partners")
     # One row per node: copies in several batches repeat it.
-    sets = active.select("node", "tokens").groupBy("node").agg(F.first("tokens").alias("tokens"))
+    sets = active.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
     filled = staged(members.join(sets, "node").select("hub", "node", "tokens"), "filled")
     blocks = filled.groupBy("hub").agg(F.sum(F.length("tokens")).alias("bytes")).select(
         "hub", F.ceil(F.col("bytes") / BLOCK_BYTES).cast("int").alias("blocks"))
@@ -220,6 +223,35 @@ def _links(active: DataFrame, levels: bytes, percent: int, orders: int) -> DataF
     return first.unionByName(_verified(asking.unionByName(asked), levels, percent, orders))
 
 
+def _with_partner(members: DataFrame, marked: DataFrame, percent: int) -> DataFrame:
+    """The members (hub, node) that may have a partner in their group, judged by the marked tokens of their prefixes.
+
+    The hub stays if any member does. A group beyond one block is passed on whole: its pairs are checked in blocks later.
+    """
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.asarray(s, dtype=np.int64) for s in frame["shared"]]
+        sizes = frame["n"].to_numpy().astype(np.int64)
+        least = np.array([least_shared(int(n), percent) for n in sizes])
+        index, keep = _Index(sets), np.zeros(len(sets), dtype=bool)
+        for k, tokens in enumerate(sets):
+            if not keep[k]:
+                fits = (index.shared(tokens) >= np.minimum(least, least[k])) & (100 * sizes >= percent * sizes[k]) & (percent * sizes <= 100 * sizes[k])
+                fits[k] = False
+                if fits.any():
+                    keep |= fits
+                    keep[k] = True
+        if keep.any():
+            keep |= frame["node"].to_numpy() == frame["hub"].to_numpy()
+        return frame.loc[keep, ["hub", "node"]]
+
+    filled = members.join(marked, "node")
+    large = members.join(marked.select("node", F.size("shared").alias("tokens")), "node").groupBy("hub").agg(
+        (F.sum("tokens") * 8 > BLOCK_BYTES).alias("large"))
+    sized = filled.join(large, "hub")
+    return sized.where("not large").groupBy("hub").applyInPandas(run, "hub long, node long").unionByName(sized.where("large").select("hub", "node"))
+
+
 def _verified(rows: DataFrame, levels: bytes, percent: int, orders: int) -> DataFrame:
     """Links (a asks, b answers) inside each block, without those that an earlier link of the block implies."""
 
