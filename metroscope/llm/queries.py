@@ -125,3 +125,10 @@ def op8_hierarchical_packing(spark: SparkSession, folder: str) -> DataFrame:
     from .tokens import vocabulary
 
     return packed(documents(spark, folder), vocabulary("byte_bpe_50k.json"), end_id=0)
+
+
+@query
+def op7_bottom_k_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    from .bottom_k import fingerprints
+
+    return fingerprints(documents(spark, folder), k=128, size=5)
