@@ -132,3 +132,10 @@ def op7_bottom_k_sketch(spark: SparkSession, folder: str) -> DataFrame:
     from .bottom_k import fingerprints
 
     return fingerprints(documents(spark, folder), k=128, size=5)
+
+
+@query
+def op1_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
+    from .lm_scoring import cross_entropy_difference
+
+    return cross_entropy_difference(documents(spark, folder), labels(spark, folder).where("quality = 1").select("doc_id"))
