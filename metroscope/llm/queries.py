@@ -139,3 +139,10 @@ def op1_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
     from .lm_scoring import cross_entropy_difference
 
     return cross_entropy_difference(documents(spark, folder), labels(spark, folder).where("quality = 1").select("doc_id"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from .toxicity import toxicity
+
+    return toxicity(documents(spark, folder), labels(spark, folder))
