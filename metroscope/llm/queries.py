@@ -146,3 +146,10 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     from .toxicity import toxicity
 
     return toxicity(documents(spark, folder), labels(spark, folder))
+
+
+@query
+def op5_semi_markov_pii(spark: SparkSession, folder: str) -> DataFrame:
+    from .pii import personal_data
+
+    return personal_data(documents(spark, folder))
