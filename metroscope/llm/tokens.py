@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 
 import numpy as np
 
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _PIECES = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-CACHED_WORDS = 300_000
+CACHED_WORDS = 1_000_000
 
 
 def vocabulary(name: str) -> str:
@@ -41,6 +42,7 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.lower = '"Lowercase"' in str(self.library.normalizer) or "Lowercase" in repr(self.library.normalizer)
         self.letters = _byte_letters()
+        self.merged = self.library.model.tokenize
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.first: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = self.first if self.lower else {}
@@ -98,8 +100,8 @@ class Encoder:
                 return self.first[form]
         if form.isalpha() and (word.isascii() or unicodedata.is_normalized("NFC", word)):
             # Letters only: one part for the merges, spelled byte by byte.
-            spelled = "".join(map(self.letters.__getitem__, (lead + form).encode()))
-            return np.array([t.id for t in self.library.model.tokenize(spelled)], dtype="<u4").tobytes()
+            spelled = (lead + form).encode().decode("latin-1").translate(self.letters)
+            return array("I", [t.id for t in self.merged(spelled)]).tobytes()
         return self.whole(lead + word)
 
 
