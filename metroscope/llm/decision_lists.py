@@ -128,7 +128,7 @@ def learn_rules(rows: DataFrame, max_rows: int = 50_000, cuts: int = 48, max_rul
     Learns from at most ``max_rows`` labelled rows, those of the smallest key hash; nothing else is
     bounded. Candidate thresholds are ``cuts`` quantiles of each share among bad rows and among good
     ones. A rule is kept if at least ``precision`` of the pruning rows it covers are bad and at
-    least ``support`` growing rows are; no labelled rows or no bad row give an empty list. Ties go to the first share and the lowest threshold.
+    least ``support`` growing rows are; the first share of a rule that fails there is not used again. No labelled rows or no bad row give an empty list. Ties go to the first share and the lowest threshold.
     """
     marked = rows.where("bad is not null").withColumn("turn", F.xxhash64(F.lit("turn"), "key"))
     sample = staged(marked.orderBy("turn").limit(max_rows).select(
@@ -142,15 +142,16 @@ def learn_rules(rows: DataFrame, max_rows: int = 50_000, cuts: int = 48, max_rul
     binned = staged(sample.withColumn("bins", F.array(*[
         sum((F.when(F.col(s) >= c, 1).otherwise(0) for c in cut_points[s]), F.lit(0)) for s in SHARES])), "binned")
     rules: list[Rule] = []
+    barred: set[str] = set()
     while len(rules) < max_rules:
         open_rows = binned.where(~any_rule(rules))
-        rule = _grown(open_rows.where("not prune"), cut_points, max_literals, support)
-        if not rule:
+        grown = _grown(open_rows.where("not prune"), {s: c for s, c in cut_points.items() if s not in barred}, max_literals, support)
+        if not grown:
             break
-        rule = _pruned(open_rows.where("prune"), rule, precision)
-        if not rule:
-            break
-        rules.append(rule)
+        if rule := _pruned(open_rows.where("prune"), grown, precision):
+            rules.append(rule)
+        else:
+            barred.add(grown[0].share)
     return rules
 
 
@@ -166,6 +167,8 @@ def _grown(rows: DataFrame, cut_points: dict, max_literals: int, support: int) -
             break
         best, gained = None, 1e-9
         for at, share in enumerate(SHARES):
+            if share not in cut_points:
+                continue
             below_n = below_bad = 0
             counts = {r["bin"]: (r["n"], r["bad"]) for r in table if r["share"] == at}
             for k, cut in enumerate(cut_points[share]):
