@@ -93,14 +93,15 @@ class Encoder:
         return found
 
     def _one(self, word: str, lead: str) -> bytes:
-        form = word
-        if self.lower and word.isalpha() and "Σ" not in word and (word.isascii() or unicodedata.is_normalized("NFC", word)):
-            form = word.lower()
-            if form != word and form in self.first:
-                return self.first[form]
-        if form.isalpha() and (word.isascii() or unicodedata.is_normalized("NFC", word)):
+        plain = word.isalpha() and (word.isascii() or unicodedata.is_normalized("NFC", word))
+        if self.lower:
+            # A capital sigma's small form depends on its place in Python, not in the library.
+            plain = plain and "Σ" not in word and word.lower().isalpha()
+            if plain and (word := word.lower()) in self.first:
+                return self.first[word]
+        if plain:
             # Letters only: one part for the merges, spelled byte by byte.
-            spelled = (lead + form).encode().decode("latin-1").translate(self.letters)
+            spelled = (lead + word).encode().decode("latin-1").translate(self.letters)
             return array("I", [t.id for t in self.merged(spelled)]).tobytes()
         return self.whole(lead + word)
 
