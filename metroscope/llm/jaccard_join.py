@@ -29,9 +29,12 @@ a link.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +42,8 @@ from .components import connected_components
 from .storage import staged
 from .words import mix, shingle_set
 
-LEVEL_BITS = 23
-LEVEL_TOKENS = 1 << 20
+LEVEL_BITS = 25
+LEVEL_TOKENS = 1 << 22
 MARK_BITS = 26
 BLOCK_BYTES = 8 << 20
 SEEDS = (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x2545F4914F6CDD1D)
@@ -133,14 +136,20 @@ def _levels(repeats: DataFrame) -> bytes:
     cells = counted.where(F.col("level") >= least).groupBy(cell.alias("cell")).agg(F.max("level").alias("level")).toArrow()
     table = np.zeros(1 << LEVEL_BITS, dtype=np.uint8)
     table[cells.column("cell").to_numpy()] = np.minimum(cells.column("level").to_numpy(), 60)
-    return table.tobytes()
+    return zstandard.compress(table.tobytes(), 1)
+
+
+@lru_cache(maxsize=1)
+def _table(levels: bytes) -> np.ndarray:
+    """Unpacked once per worker, not once per group."""
+    return np.frombuffer(zstandard.decompress(levels), dtype=np.uint8)
 
 
 def _postings(docs: DataFrame, levels: bytes, percent: int, size: int) -> DataFrame:
     """(token, node) of every prefix under the first order, once per batch and node."""
 
     def run(batches):
-        table = np.frombuffer(levels, dtype=np.uint8)
+        table = _table(levels)
         for batch in batches:
             seen, tokens, nodes = set(), [], []
             for text in batch.column(0).to_pylist():
@@ -175,7 +184,7 @@ def _active(docs: DataFrame, levels: bytes, marks: bytes, percent: int, size: in
     """(node, shared, tokens): nodes whose first prefix holds enough marked tokens, with those and the whole set."""
 
     def run(batches):
-        table, bits = np.frombuffer(levels, dtype=np.uint8), np.frombuffer(marks, dtype=np.uint64)
+        table, bits = _table(levels), np.frombuffer(marks, dtype=np.uint64)
         for batch in batches:
             seen, out = set(), ([], [], [])
             for text in batch.column(0).to_pylist():
@@ -256,7 +265,7 @@ def _verified(rows: DataFrame, levels: bytes, percent: int, orders: int) -> Data
     """Links (a asks, b answers) inside each block, without those that an earlier link of the block implies."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        table = np.frombuffer(levels, dtype=np.uint8)
+        table = _table(levels)
         asks = frame["asks"].to_numpy()
         nodes, sets = frame["node"].to_numpy(), [np.frombuffer(t, dtype=np.uint64) for t in frame["tokens"]]
         found = linked_pairs([s for s, a in zip(sets, asks) if a], [s for s, a in zip(sets, asks) if not a], table, percent, orders)
