@@ -131,7 +131,7 @@ def _pieces(blocks: DataFrame, value, kind: str, joined) -> DataFrame:
                 if row["lead"]:
                     out.append((row["shard"], row["lead_rank"], row["block"], None, None, None, None, ids[: 4 * row["lead"]]))
                 for k, (doc, at, n) in enumerate(zip(row["doc_id"], row["at"], row["n_tokens"])):
-                    own, place = ids[4 * at : 4 * (at + n)], (row["shard"], row["first_rank"] + k, row["block"], doc, row["block_start"] + at, n)
+                    own, place = ids[4 * at : 4 * (at + n)], (row["shard"], row["first_rank"] + k, row["block"], doc, at, n)
                     out.append((*place, value(own), None) if len(own) == 4 * n else (*place, None, own))
             kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), arrow, pa.binary()]
             columns = list(zip(*out)) or [()] * len(kinds)
@@ -140,7 +140,7 @@ def _pieces(blocks: DataFrame, value, kind: str, joined) -> DataFrame:
     def join(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("part")
         head = frame[frame["n_tokens"].notna()].iloc[0]
-        return pd.DataFrame({"doc_id": [head["doc_id"]], "at": [head["at"]], "n_tokens": [head["n_tokens"]], "ids": [joined(frame["bytes"])], "shard": [head["shard"]]}).astype(
+        return pd.DataFrame({"doc_id": [head["doc_id"]], "at": [head["at"]], "n_tokens": [head["n_tokens"]], "ids": [joined(frame["bytes"])], "shard": [head["shard"]], "part": [head["part"]]}).astype(
             {"doc_id": "Int64", "at": "int64", "n_tokens": "int64"})
 
     # Positions from the index alone: a narrow window over a shard's blocks, and one over the shards' totals.
@@ -148,8 +148,9 @@ def _pieces(blocks: DataFrame, value, kind: str, joined) -> DataFrame:
         "block_start", F.coalesce(F.sum("n_ids").over(Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n_ids")
     totals = blocks.groupBy(F.col("shard").alias("t")).agg(F.sum("n_ids").alias("total"))
     bases = totals.withColumn("base", F.coalesce(F.sum("total").over(Window.orderBy("t").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("total")
-    found = blocks.join(starts, (F.col("shard") == F.col("s")) & (F.col("block") == F.col("b"))).drop("s", "b").mapInArrow(run, schema)
-    found = staged(found, "id-pieces")
-    complete = found.where("bytes is null").select("shard", "doc_id", "at", "n_tokens", "ids")
-    cut = found.where("bytes is not null").groupBy("shard", "rank").applyInPandas(join, f"doc_id long, at long, n_tokens long, ids {kind}, shard int")
-    return complete.unionByName(cut).join(bases, F.col("shard") == F.col("t")).select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids")
+    # Blocks are decoded where they lie; positions join the narrow pieces.
+    found = staged(blocks.mapInArrow(run, schema), "id-pieces")
+    complete = found.where("bytes is null").select("shard", "part", "doc_id", "at", "n_tokens", "ids")
+    cut = found.where("bytes is not null").groupBy("shard", "rank").applyInPandas(join, f"doc_id long, at long, n_tokens long, ids {kind}, shard int, part int")
+    placed = complete.unionByName(cut).join(starts, (F.col("shard") == F.col("s")) & (F.col("part") == F.col("b"))).join(bases, F.col("shard") == F.col("t"))
+    return placed.select("doc_id", (F.col("base") + F.col("block_start") + F.col("at")).alias("start"), "n_tokens", "ids")
