@@ -190,7 +190,7 @@ SELECT jour, isodow(jour) >= 6 AS is_weekend,
        (strftime(jour, '%m-%d') IN ('01-01', '05-01', '07-14', '12-25') AND year(jour) IN (SELECT y FROM y)) AS is_holiday,
        (strftime(jour, '%m-%d') BETWEEN '02-10' AND '02-25' OR strftime(jour, '%m-%d') BETWEEN '07-05' AND '09-01')
          AND year(jour) IN (SELECT y FROM y) AS is_school_holiday,
-       EXISTS (SELECT 1 FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 480000
+       EXISTS (SELECT 1 FROM orders WHERE o_orderpriority = '1-URGENT'
                AND jour BETWEEN CAST(o_orderdate AS date) AND CAST(o_orderdate AS date) + 2) AS has_works
 FROM d""")
 def _(t):
@@ -203,7 +203,7 @@ def _(t):
     )
     school = years.select(F.inline(bounds))
     day = F.to_date("o_orderdate")
-    works = t.orders.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 480000)).select(
+    works = t.orders.where(F.col("o_orderpriority") == "1-URGENT").select(
         day.alias("start_date"), F.date_add(day, 2).alias("end_date")
     )
     days = t.lineitem.select(F.to_date("l_shipdate").alias("jour")).distinct()

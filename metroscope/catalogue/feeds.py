@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_key
@@ -338,10 +340,11 @@ def _(t):
         F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("T00:00:00+00:00"))
     )
     strings = csv_archive(t, t.lineitem.select(F.col("l_orderkey").alias("id"), stamp.alias("t")), "monthly")
-    bounds = t.lineitem.agg(F.lit("1998-01").alias("first"), month_key(F.max("l_shipdate")).alias("last"))
+    spec = dataclasses.replace(tables.BULK_TABLES["multimodal"], first_month="1998-01")
+    bounds = t.lineitem.agg(F.lit(spec.first_month).alias("first"), month_key(F.max("l_shipdate")).alias("last"))
     done = t.orders.where(F.month("o_orderdate") <= 4).select(month_key(F.col("o_orderdate")).alias("month")).distinct()
     months = lake.months_to_refresh(lake.month_spine(bounds), done)
-    return tables.normalise_bulk_monthly(strings, tables.BULK_TABLES["multimodal"], months)
+    return tables.normalise_bulk_monthly(strings, spec, months)
 
 
 # -- accidents, flows -------------------------------------------------------------------------

@@ -1,4 +1,7 @@
-"""Coordinates. Stations = customers, venues = suppliers, both placed by key around one city."""
+"""Coordinates. Stations = customers, venues = suppliers, placed by key around a row of cities.
+
+A city has 1,500 stations and 100 venues, so larger tables have more cities, not denser ones.
+"""
 
 from __future__ import annotations
 
@@ -18,13 +21,18 @@ def scattered(key: str, step: int, centre: float, spread: int):
     return F.lit(centre) + offset.cast("double") / F.lit(100000.0)
 
 
+def city(key: str, per_city: int):
+    """Degrees of longitude between the first city and that of ``key``."""
+    return (F.floor(F.col(key) / per_city) % 400).cast("double") * F.lit(0.4)
+
+
 def stations(t: Tables):
     return t.customer.select(
         F.floor(F.col("c_custkey") / 3).alias("id_ref_zdc"),
         F.col("c_name").alias("nom_zdc"),
         F.col("c_mktsegment").alias("res_com"),
         F.when(F.col("c_custkey") % 50 != 0, scattered("c_custkey", 7919, 48.85, 20001)).alias("lat"),
-        scattered("c_custkey", 10473, 2.35, 30001).alias("lon"),
+        (scattered("c_custkey", 10473, 2.35, 30001) + city("c_custkey", 1500)).alias("lon"),
     )
 
 
@@ -34,7 +42,7 @@ def venues(t: Tables):
     return t.supplier.select(
         key.alias("venue_id"),
         scattered("s_suppkey", 3571, 48.85, 15001).alias("lat"),
-        scattered("s_suppkey", 9311, 2.35, 20001).alias("lon"),
+        (scattered("s_suppkey", 9311, 2.35, 20001) + city("s_suppkey", 100)).alias("lon"),
         (F.lit(700) + key % 4 * 300).cast("int").alias("radius_m"),
         split_id_list(listed).alias("serving_zdc"),
     )
@@ -44,6 +52,10 @@ def sql_scattered(key: str, step: int, centre: float, spread: int) -> str:
     return f"CAST({centre} AS double) + CAST(({key} * {step}) % {spread} - {spread // 2} AS double) / CAST(100000 AS double)"
 
 
+def sql_city(key: str, per_city: int) -> str:
+    return f"CAST(({key} // {per_city}) % 400 AS double) * CAST(0.4 AS double)"
+
+
 def sql_distance(a: str, b: str, c: str, d: str) -> str:
     return (
         f"CAST(12742000 AS double) * asin(sqrt(pow(sin((radians({c}) - radians({a})) / 2), 2)"
@@ -55,10 +67,10 @@ PLACES = f"""
 stations AS (
   SELECT CAST(floor(c_custkey / 3) AS bigint) AS id_ref_zdc, c_name AS nom_zdc, c_mktsegment AS res_com,
          CASE WHEN c_custkey % 50 <> 0 THEN {sql_scattered('c_custkey', 7919, 48.85, 20001)} END AS lat,
-         {sql_scattered('c_custkey', 10473, 2.35, 30001)} AS lon FROM customer),
+         {sql_scattered('c_custkey', 10473, 2.35, 30001)} + {sql_city('c_custkey', 1500)} AS lon FROM customer),
 venues AS (
   SELECT s_suppkey AS venue_id, {sql_scattered('s_suppkey', 3571, 48.85, 15001)} AS lat,
-         {sql_scattered('s_suppkey', 9311, 2.35, 20001)} AS lon,
+         {sql_scattered('s_suppkey', 9311, 2.35, 20001)} + {sql_city('s_suppkey', 100)} AS lon,
          700 + s_suppkey % 4 * 300 AS radius_m,
          list_distinct([s_suppkey % 400, s_suppkey * 3 % 400]) AS serving FROM supplier),
 near AS (

@@ -22,14 +22,15 @@ def snapshot_files(t: Tables, folder: str, copies: int = 1) -> str:
         F.least(F.floor("value"), F.col("user_id") % 10).alias("bikes"),
         F.floor("value").alias("delay_s"),
     )
+    # Several files whose times overlap and are out of order, so batches bring late rows.
     for _ in range(copies):
-        rows.write.mode("append").json(path)
+        rows.repartition(4, F.xxhash64("event_id")).write.mode("append").json(path)
     return path
 
 
 def stream(t: Tables, label: str, copies: int = 1):
     folder = scratch_folder(t.spark, label)
-    return snapshots.read_snapshots(t.spark, snapshot_files(t, folder, copies), RECORD), folder
+    return snapshots.read_snapshots(t.spark, snapshot_files(t, folder, copies), RECORD, files_per_batch=1), folder
 
 
 def wall_clock(df, *columns: str):
@@ -49,9 +50,8 @@ def _(t):
 @entry("stream_dedupe", "SELECT event_id, 's' || user_id AS stationcode, ts AS polled_at FROM events")
 def _(t):
     rows, folder = stream(t, "dedupe", copies=2)
-    once = snapshots.stream_dedupe(rows.select("event_id", "stationcode", "polled_at"), ["event_id"], "polled_at")
-    stored = snapshots.run_available(once, f"{folder}/table", f"{folder}/checkpoint")
-    return wall_clock(stored.drop(snapshots.BATCH), "polled_at")
+    once = snapshots.stream_dedupe(rows.select("event_id", "stationcode", "polled_at"), ["event_id"], f"{folder}/table", f"{folder}/checkpoint")
+    return wall_clock(once, "polled_at")
 
 
 DELAY_WINDOWS = """
@@ -62,10 +62,8 @@ FROM events{shifts} GROUP BY 1, 2, 3"""
 
 def delay_windows(t: Tables, label: str, slide: str | None):
     rows, folder = stream(t, label)
-    windows = snapshots.stream_delay_windows(rows, "line_ref", "polled_at", "delay_s", "1 hour", slide)
-    table = snapshots.run_available(windows, f"{folder}/table", f"{folder}/checkpoint", mode="update")
-    latest = snapshots.latest_updates(table, ["line_ref", "window_start", "window_end"])
-    return wall_clock(latest, "window_start", "window_end")
+    windows = snapshots.stream_delay_windows(rows, f"{folder}/table", f"{folder}/checkpoint", "line_ref", "polled_at", "delay_s", "1 hour", slide)
+    return wall_clock(windows, "window_start", "window_end")
 
 
 @entry("stream_delay_windows", DELAY_WINDOWS.format(start="date_trunc('hour', ts)", shifts=""))
@@ -89,6 +87,4 @@ def _(t):
     rows, folder = stream(t, "docks")
     capacity = F.substring("stationcode", -1, 1).cast("bigint")
     docks = rows.withColumns({"numbikesavailable": F.col("bikes"), "numdocksavailable": capacity - F.col("bikes")})
-    state = snapshots.stream_dock_state(docks)
-    table = snapshots.run_available(state, f"{folder}/table", f"{folder}/checkpoint", mode="update")
-    return wall_clock(snapshots.latest_updates(table, ["stationcode", "window_start"]), "window_start")
+    return wall_clock(snapshots.stream_dock_state(docks, f"{folder}/table", f"{folder}/checkpoint"), "window_start")

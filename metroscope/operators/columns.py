@@ -59,6 +59,8 @@ def flatten_struct(df: DataFrame, struct_col: str, fields: Iterable[str]) -> Dat
 
 
 def explode_json_map(df: DataFrame, json_col: str, key: str, value: str) -> DataFrame:
-    """One row per entry of a JSON object."""
+    """One row per entry of a JSON object; text that is none is an error, a null gives no row."""
     others = [c for c in df.columns if c != json_col]
-    return df.select(*others, F.explode(F.from_json(json_col, "map<string,string>")).alias(key, value))
+    entries = F.from_json(json_col, "map<string,string>")
+    broken = F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring(json_col, 1, 100)))
+    return df.select(*others, F.explode(F.when(F.col(json_col).isNotNull(), F.coalesce(entries, broken))).alias(key, value))

@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_RADIUS_M, haversine_m
 
-# A probe row is under 100 bytes, so this many are about 10 MB: the most that is ever broadcast.
-BROADCAST_PROBES = 100_000
-
 METRES_PER_DEGREE = EARTH_RADIUS_M * 3.141592653589793 / 180.0
 
 
@@ -71,17 +68,18 @@ def stations_near(
     stations: DataFrame,
     radius: Column | float = 900.0,
     key: str = "venue_id",
-    cell_m: float = 1500.0,
-    salts: int = 8,
-    broadcast_probes: int = BROADCAST_PROBES,
+    cell_m: float | None = None,
 ) -> DataFrame:
     """Stations within walking distance: one row per (centre, ZDC), nearest name and sorted lines.
 
     ``centres`` has (key, lat, lon[, radius_m]); ``stations`` has (id_ref_zdc, nom_zdc, res_com,
-    lat, lon). Copies of one platform are folded together before the join. The centres' cells are
-    broadcast when a count shows that they are few; otherwise both sides are shuffled by cell,
-    crowded cells spread over ``salts`` tasks.
+    lat, lon). Copies of one platform are folded together before the join. Both sides meet by cell:
+    Spark broadcasts a side that turns out small and splits crowded cells. A number as radius also gives the size of
+    the cells, so that a circle touches a few of them however large it is; radii in a column take
+    ``cell_m``, 1,500 m unless given.
     """
+    if cell_m is None:
+        cell_m = 1500.0 if isinstance(radius, Column) else max(float(radius), 100.0)
     radius = radius if isinstance(radius, Column) else F.lit(float(radius))
     places = (
         stations.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
@@ -92,12 +90,7 @@ def stations_near(
     probes = with_touched_cells(
         centres.select(key, "lat", "lon", radius.cast("double").alias("_radius")), F.col("_radius"), cell_m
     )
-    if probes.limit(broadcast_probes + 1).count() <= broadcast_probes:
-        pairs = places.join(F.broadcast(probes), ["_band", "_cell"])
-    else:
-        salt = F.pmod(F.xxhash64("id_ref_zdc", "s_lat", "s_lon"), F.lit(salts)).cast("int")
-        salted = probes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        pairs = places.withColumn("_salt", salt).join(salted.hint("merge"), ["_band", "_cell", "_salt"])
+    pairs = places.join(probes, ["_band", "_cell"])
     near = filter_within_radius(pairs, F.col("_radius"))
     return (
         near.groupBy(key, "id_ref_zdc")
@@ -115,7 +108,7 @@ def registry_drift(venues: DataFrame, stations: DataFrame, radius_override: floa
     ``venues`` has (venue_id, lat, lon, radius_m, serving_zdc).
     """
     radius = F.coalesce(F.lit(radius_override).cast("double"), F.col("radius_m").cast("double"))
-    near = stations_near(venues, stations, radius)
+    near = stations_near(venues, stations, radius, cell_m=max(radius_override, 100.0) if radius_override is not None else None)
     found = near.groupBy("venue_id").agg(F.collect_set("id_ref_zdc").alias("_found"))
     none = F.array().cast("array<bigint>")
     joined = venues.select(

@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def percentile_rank_average(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "pctile") -> DataFrame:
+def percentile_rank_average(df: DataFrame, value: str, by: Sequence[str], name: str = "pctile") -> DataFrame:
     """Average-tie rank of ``value`` within its group, as a percentage of the group.
 
+    ``by`` may not be empty: one ranking of everything would be one task.
+
     Meant for series at day grain, where a group is one venue's calendar (thousands of rows
     at most), however many raw counts stand behind each day. Ties are the peers of the current
     row, so rank, ties and size share one shuffle and one sort.
     """
+    if not by:
+        raise ValueError("rank within groups: by is empty")
     group = Window.partitionBy(*by)
     ordered = group.orderBy(value)
     ties = F.count(F.lit(1)).over(ordered.rangeBetween(Window.currentRow, Window.currentRow))
@@ -44,6 +48,8 @@ def nearest_per_group(df: DataFrame, group: Sequence[str], distance: str = "dist
 
 def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence, n: int) -> DataFrame:
     """The first ``n`` rows of each group. Catalyst limits each group before the shuffle."""
+    if not by:
+        return df.orderBy(*order).limit(n)
     position = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
     return df.withColumn("_position", position).where(F.col("_position") <= n).drop("_position")
 

@@ -121,13 +121,19 @@ def outliers(series: DataFrame, top: int = 15, by: Sequence[str] = VENUE) -> Dat
     return best.select(*by, "jour", "validations", "dow_median", "ratio")
 
 
-def event_verdict(scored: DataFrame, by: Sequence[str] = VENUE) -> DataFrame:
-    """PASS from the 90th median percentile, PASS (weak) from the 75th, else FAIL."""
+def event_verdict(scored: DataFrame, by: Sequence[str] = VENUE, wanted: DataFrame | None = None) -> DataFrame:
+    """PASS from the 90th median percentile, PASS (weak) from the 75th, else FAIL.
+
+    ``wanted`` lists the venues to judge: those without a scored date are there with NO DATA.
+    """
     summary = scored.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.median("pctile").alias("median_pctile"),
         F.count_if(F.col("pctile") >= 90.0).alias("top_decile"),
     )
+    if wanted is not None:
+        summary = wanted.select(*by).distinct().join(summary, list(by), "left").withColumns(
+            {"n": F.coalesce("n", F.lit(0).cast("bigint")), "top_decile": F.coalesce("top_decile", F.lit(0).cast("bigint"))})
     verdict = (
         F.when(F.col("n") == 0, "NO DATA")
         .when(F.col("median_pctile") >= 90.0, "PASS")

@@ -75,11 +75,28 @@ def normalise_bike_docks(records: DataFrame, polled_at: Column) -> DataFrame:
 
 # -- disruptions --------------------------------------------------------------------------
 
+def _unreadable(json_col: str) -> Column:
+    """The error of a body that is not what its feed sends: cut short, an error page, or too large for a variant."""
+    size = F.concat(F.length(json_col).cast("string"), F.lit(" characters, beginning "), F.substring(json_col, 1, 100))
+    return F.raise_error(F.concat(F.lit("unreadable poll: "), F.coalesce(size, F.lit("no body"))))
+
+
+def readable_polls(payloads: DataFrame, json_col: str = "payload") -> DataFrame:
+    """Adds ``problem``: null for a body that parses as JSON, else what is wrong with it.
+
+    A run that shall go on without its broken polls publishes those of a null problem and reports the others;
+    the flatten functions themselves refuse a broken body rather than lose it.
+    """
+    fault = F.when(F.col(json_col).isNull(), "no body").when(F.try_parse_json(json_col).isNull(), F.concat(
+        F.lit("not JSON, or too large: "), F.length(json_col).cast("string"), F.lit(" characters")))
+    return payloads.withColumn("problem", fault)
+
+
 def disruption_messages(payloads: DataFrame, json_col: str = "payload") -> DataFrame:
     """One row per disruption object of a poll body ``{"disruptions": [...]}`` or ``[...]``."""
     body = F.try_parse_json(json_col)
     listed = F.coalesce(
-        F.try_variant_get(body, "$.disruptions", "array<variant>"), F.try_variant_get(body, "$", "array<variant>")
+        F.try_variant_get(body, "$.disruptions", "array<variant>"), F.try_variant_get(body, "$", "array<variant>"), _unreadable(json_col)
     )
     others = [c for c in payloads.columns if c != json_col]
     return payloads.select(*others, F.explode(listed).alias("_m")).select(*others, F.to_json("_m").alias("raw"))
@@ -116,7 +133,7 @@ def normalise_disruptions(payloads: DataFrame) -> DataFrame:
 def flatten_stop_visits(payloads: DataFrame, json_col: str = "payload") -> DataFrame:
     """Deliveries -> visits -> one row each; the first destination name only."""
     others = [c for c in payloads.columns if c != json_col]
-    deliveries = F.from_json(json_col, STOP_MONITORING)["Siri"]["ServiceDelivery"]["StopMonitoringDelivery"]
+    deliveries = F.coalesce(F.from_json(json_col, STOP_MONITORING)["Siri"]["ServiceDelivery"]["StopMonitoringDelivery"], _unreadable(json_col))
     visits = payloads.select(*others, F.explode(deliveries).alias("_d")).select(
         *others, F.explode("_d.MonitoredStopVisit").alias("_v")
     )
@@ -141,7 +158,7 @@ def normalise_departures(payloads: DataFrame) -> DataFrame:
 def flatten_network_calls(payloads: DataFrame, json_col: str = "payload") -> DataFrame:
     """Deliveries -> frames -> journeys -> calls; a journey without calls gives no row."""
     others = [c for c in payloads.columns if c != json_col]
-    deliveries = F.from_json(json_col, ESTIMATED_TIMETABLE)["Siri"]["ServiceDelivery"]["EstimatedTimetableDelivery"]
+    deliveries = F.coalesce(F.from_json(json_col, ESTIMATED_TIMETABLE)["Siri"]["ServiceDelivery"]["EstimatedTimetableDelivery"], _unreadable(json_col))
     journeys = (
         payloads.select(*others, F.explode(deliveries).alias("_d"))
         .select(*others, F.explode("_d.EstimatedJourneyVersionFrame").alias("_f"))

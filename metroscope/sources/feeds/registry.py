@@ -38,7 +38,9 @@ class Feed:
 
 
 def _from_file(pattern: str) -> Column:
-    return F.regexp_extract("file", pattern, 1)
+    """The part of a file's name that labels its rows; a name without one is refused, or its rows would share a partition with all such."""
+    found = F.nullif(F.regexp_extract("file", pattern, 1), F.lit(""))
+    return F.coalesce(found, F.raise_error(F.concat(F.lit("file name without a label: "), F.col("file"))))
 
 
 def _weather(spark, raw):

@@ -110,10 +110,10 @@ def normalise_bulk_monthly(strings: DataFrame, spec: BulkTable, months: DataFram
     """Rows of the months to refresh, as text, with ``part`` the month of the slice column.
 
     A month is the leading ``YYYY-MM`` of the timestamp, so rows of an impossible year match no
-    month of the spine and drop out.
+    month of the spine and drop out, as do months before the table's first.
     """
     month = F.substring(spec.slice_column, 1, 7)
-    return strings.withColumn("part", month).join(months.select(F.col("month").alias("part")), "part", "left_semi")
+    return strings.withColumn("part", month).where(F.col("part") >= spec.first_month).join(months.select(F.col("month").alias("part")), "part", "left_semi")
 
 
 # -- accidents ----------------------------------------------------------------------------

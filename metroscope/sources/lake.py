@@ -127,8 +127,8 @@ def register_views(spark: SparkSession, lake: str, reference: str | None = None)
     return names
 
 
-def sql_over_lake(spark: SparkSession, text: str, limit: int | None = 25) -> DataFrame:
-    """Any SQL over the registered views. The display limit runs inside the query."""
+def sql_over_lake(spark: SparkSession, text: str, limit: int | None = None) -> DataFrame:
+    """Any SQL over the registered views, uncut; a limit for display runs inside the query."""
     result = spark.sql(text)
     return result if limit is None else result.limit(limit)
 

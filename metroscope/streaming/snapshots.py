@@ -24,10 +24,10 @@ def read_snapshots(spark: SparkSession, path: str, schema, fmt: str = "json", fi
     return reader.load(path)
 
 
-def _publish_batch(table: str, partitions: Sequence[str]) -> Callable[[DataFrame, int], None]:
+def _publish_batch(table: str, partitions: Sequence[str], prepare: Callable[[DataFrame], DataFrame] | None) -> Callable[[DataFrame, int], None]:
     def publish(rows: DataFrame, batch_id: int) -> None:
         (
-            rows.withColumn(BATCH, F.lit(batch_id))
+            (prepare(rows) if prepare else rows).withColumn(BATCH, F.lit(batch_id))
             .hint("rebalance", *partitions)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -39,11 +39,13 @@ def _publish_batch(table: str, partitions: Sequence[str]) -> Callable[[DataFrame
     return publish
 
 
-def run_available(stream: DataFrame, table: str, checkpoint: str, partitions: Sequence[str] = (), mode: str = "append") -> DataFrame:
-    """Process what has arrived, then return the table."""
+def run_available(
+    stream: DataFrame, table: str, checkpoint: str, partitions: Sequence[str] = (), prepare: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """Process what has arrived, each batch through ``prepare``, then return the table."""
     query = (
-        stream.writeStream.foreachBatch(_publish_batch(table, partitions))
-        .outputMode(mode)
+        stream.writeStream.foreachBatch(_publish_batch(table, partitions, prepare))
+        .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -62,57 +64,61 @@ def stream_snapshots(stream: DataFrame, table: str, checkpoint: str, stamp: Colu
     return run_available(stream.withColumn(PART, stamp.cast("string")), table, checkpoint, [PART])
 
 
-def stream_dedupe(stream: DataFrame, keys: Sequence[str], ts: str, delay: str = "1 day") -> DataFrame:
-    """A replayed file must not count twice. State is bounded by the watermark."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+def stream_dedupe(stream: DataFrame, keys: Sequence[str], table: str, checkpoint: str) -> DataFrame:
+    """A replayed row counts once, whenever it comes again and whichever batch brings it.
+
+    Each batch drops its own repeats and publishes the rest; a key that several batches brought is
+    read from the first of them. Nothing is kept in state and no row is late.
+    """
+    stored = run_available(stream, table, checkpoint, prepare=lambda rows: rows.dropDuplicates(list(keys)))
+    values = [c for c in stored.columns if c not in (*keys, BATCH)]
+    if not values:
+        return stored.select(*keys).distinct()
+    first = stored.groupBy(*keys).agg(F.min_by(F.struct(*values), F.col(BATCH).cast("bigint")).alias("_v"))
+    return first.select(*[c if c in keys else F.col(f"_v.{c}").alias(c) for c in stored.columns if c != BATCH])
 
 
-def stream_delay_windows(stream: DataFrame, line: str, aimed: str, delay: str, window: str, slide: str | None = None, lateness: str = "1 hour") -> DataFrame:
-    """Delay by line in tumbling (or sliding) windows of planned time."""
+def stream_delay_windows(stream: DataFrame, table: str, checkpoint: str, line: str, aimed: str, delay: str, window: str, slide: str | None = None) -> DataFrame:
+    """Delay by line in tumbling (or sliding) windows of planned time.
+
+    Every batch publishes its own counts, sums and maxima; reading adds them up, so late rows count
+    and the result does not depend on how files fall into batches.
+    """
     span = F.window(aimed, window, slide) if slide else F.window(aimed, window)
-    return (
-        stream.withWatermark(aimed, lateness)
-        .groupBy(line, span.alias("_w"))
-        .agg(
-            F.count(F.lit(1)).alias("departures"),
-            F.sum(delay).alias("total_delay_s"),
-            F.max(delay).alias("max_delay_s"),
-        )
-        .select(line, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
-                "departures", "total_delay_s", "max_delay_s")
-    )
+
+    def partial(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(line, span.alias("_w")).agg(
+            F.count(F.lit(1)).alias("departures"), F.sum(delay).alias("total_delay_s"), F.max(delay).alias("max_delay_s"),
+        ).select(line, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "departures", "total_delay_s", "max_delay_s")
+
+    parts = run_available(stream, table, checkpoint, prepare=partial)
+    return parts.groupBy(line, "window_start", "window_end").agg(
+        F.sum("departures").alias("departures"), F.sum("total_delay_s").alias("total_delay_s"), F.max("max_delay_s").alias("max_delay_s"))
 
 
-def stream_dock_state(stream: DataFrame, ts: str = "polled_at", window: str = "1 day", poll_seconds: int = 300, lateness: str = "1 hour") -> DataFrame:
+def stream_dock_state(stream: DataFrame, table: str, checkpoint: str, ts: str = "polled_at", window: str = "1 day", poll_seconds: int = 300) -> DataFrame:
     """Per station and window: the latest counts, and the time spent empty and full.
 
-    Polls are periodic, so time is polls times the period; no per-row state is kept.
+    Polls are periodic, so time is polls times the period. Batches publish partial results, as above.
     """
-    return (
-        stream.withWatermark(ts, lateness)
-        .groupBy("stationcode", F.window(ts, window).alias("_w"))
-        .agg(
-            F.count(F.lit(1)).alias("polls"),
-            F.max(F.struct(ts, "numbikesavailable", "numdocksavailable")).alias("_last"),
-            (F.count_if(F.col("numbikesavailable") == 0) * F.lit(poll_seconds)).alias("seconds_empty"),
-            (F.count_if(F.col("numdocksavailable") == 0) * F.lit(poll_seconds)).alias("seconds_full"),
-        )
-        .select(
-            "stationcode",
-            F.col("_w.start").alias("window_start"),
-            "polls",
-            F.col("_last.numbikesavailable").alias("last_bikes"),
-            F.col("_last.numdocksavailable").alias("last_docks"),
-            "seconds_empty",
-            "seconds_full",
-        )
-    )
 
-
-def latest_updates(table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The newest version of every key from a table of update batches."""
-    values = [c for c in table.columns if c not in keys and c != BATCH]
-    newest = table.groupBy(*keys).agg(
-        F.max_by(F.struct(*values), F.col(BATCH).cast("bigint")).alias("_v")
-    )
-    return newest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
+    def partial(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("stationcode", F.window(ts, window).alias("_w")).agg(
+            F.count(F.lit(1)).alias("polls"),
+            F.max(F.struct(F.col(ts).alias("at"), F.col("numbikesavailable").alias("bikes"), F.col("numdocksavailable").alias("docks"))).alias("last"),
+            F.count_if(F.col("numbikesavailable") == 0).alias("empty"),
+            F.count_if(F.col("numdocksavailable") == 0).alias("full"),
+        ).select("stationcode", F.col("_w.start").alias("window_start"), "polls", "last", "empty", "full")
+
+    parts = run_available(stream, table, checkpoint, prepare=partial)
+    state = parts.groupBy("stationcode", "window_start").agg(
+        F.sum("polls").alias("polls"), F.max("last").alias("last"), F.sum("empty").alias("empty"), F.sum("full").alias("full"))
+    return state.select(
+        "stationcode", "window_start", "polls", F.col("last.bikes").alias("last_bikes"), F.col("last.docks").alias("last_docks"),
+        (F.col("empty") * F.lit(poll_seconds)).alias("seconds_empty"), (F.col("full") * F.lit(poll_seconds)).alias("seconds_full"))
+
+
+def compact(table: DataFrame, keys: Sequence[str], merged: Sequence[Column], path: str) -> DataFrame:
+    """Partial results of many batches as one row per key, written to ``path``: a new table to go on from."""
+    table.groupBy(*keys).agg(*merged).withColumn(BATCH, F.lit(-1)).write.mode("overwrite").option("compression", "zstd").partitionBy(BATCH).parquet(path)
+    return scan_table(table.sparkSession, path)

@@ -38,9 +38,9 @@ def around(lat, lon, spread, n, rnd, first=0):
     return out
 
 
-@pytest.mark.parametrize("broadcast_probes", [100_000, 0])
+@pytest.mark.parametrize("cell_m", [None, 150.0, 20_000.0])
 @pytest.mark.parametrize("lat, lon", [(48.85, 2.35), (0.0, 0.0), (-33.9, 179.999), (65.0, -179.9995), (89.995, 10.0)])
-def test_equals_brute_force(spark, lat, lon, broadcast_probes):
+def test_equals_brute_force(spark, lat, lon, cell_m):
     rnd = random.Random(int(lat * 1000))
     stations = around(lat, lon, 0.03, 300, rnd) + [(9999, "nowhere", "L0", None, 2.0)]
     centres = [(v, lat + rnd.uniform(-0.01, 0.01) if abs(lat) < 89 else lat, lon, 300 + 400 * v) for v in range(6)]
@@ -48,7 +48,7 @@ def test_equals_brute_force(spark, lat, lon, broadcast_probes):
         spark.createDataFrame(centres, "venue_id int, lat double, lon double, radius_m int"),
         spark.createDataFrame(stations, "id_ref_zdc bigint, nom_zdc string, res_com string, lat double, lon double"),
         F.col("radius_m"),
-        broadcast_probes=broadcast_probes,
+        cell_m=cell_m,
     )
     found = {(r.venue_id, r.id_ref_zdc): (r.distance_m, r.nom_zdc, r.lignes) for r in got.collect()}
     expected = brute(centres, stations)

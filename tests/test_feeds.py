@@ -11,7 +11,7 @@ import pytest
 
 from metroscope.operators import gates
 from metroscope.sources import archives, lake
-from metroscope.sources.feeds import registry, tables
+from metroscope.sources.feeds import realtime, registry, tables
 
 
 @pytest.fixture
@@ -205,3 +205,24 @@ def test_accident_tables(job):
     run("accidents-caracteristiques")
     _, places = run("accidents-lieux")
     assert sorted(r.num_acc for r in places().collect()) == ["1", "2"]
+
+
+@pytest.mark.parametrize("flatten", [realtime.disruption_messages, realtime.flatten_stop_visits, realtime.flatten_network_calls])
+@pytest.mark.parametrize("body", ['{"disruptions": [{"id"', "<html>busy</html>", None])
+def test_a_broken_poll_is_refused_not_lost(spark, flatten, body):
+    polls = spark.createDataFrame([("t1", body)], "polled_at string, payload string")
+    with pytest.raises(Exception, match="unreadable poll"):
+        flatten(polls).collect()
+    assert realtime.readable_polls(polls).first().problem is not None
+
+
+def test_readable_polls_have_no_problem(spark):
+    polls = spark.createDataFrame([("t1", '{"disruptions": []}'), ("t2", "[]")], "polled_at string, payload string")
+    assert {r.problem for r in realtime.readable_polls(polls).collect()} == {None}
+    assert realtime.disruption_messages(polls).count() == 0
+
+
+def test_a_file_name_without_label_is_refused(spark):
+    files = spark.createDataFrame([("file:/raw/poll-1.json",), ("file:/raw/unnamed.json",)], "file string")
+    with pytest.raises(Exception, match="unnamed.json"):
+        files.select(registry._from_file("poll-([0-9]+)")).collect()

@@ -66,6 +66,10 @@ def test_verdict_thresholds(spark, pctiles, verdict):
 def test_verdict_without_dates(spark):
     empty = spark.createDataFrame([], "venue_id int, pctile double")
     assert ed.event_verdict(empty, by=()).first().verdict == "NO DATA"
+    wanted = spark.createDataFrame([(1,), (2,), (2,)], "venue_id int")
+    scored = spark.createDataFrame([(1, 95.0), (3, 50.0)], "venue_id int, pctile double")
+    judged = sorted((r.venue_id, r.n, r.verdict) for r in ed.event_verdict(scored, wanted=wanted).collect())
+    assert judged == [(1, 1, "PASS"), (2, 0, "NO DATA")]
 
 
 def random_series(spark, seed=7, venues=3, days=900):
@@ -133,8 +137,8 @@ def test_a_station_shared_by_two_venues_counts_for_both(spark):
 
 
 def test_average_rank_of_ties(spark):
-    df = spark.createDataFrame([(v,) for v in (1.0, 2.0, 2.0, 3.0)], "x double")
-    got = sorted((r.x, r.pctile) for r in percentile_rank_average(df, "x").collect())
+    df = spark.createDataFrame([(0, v) for v in (1.0, 2.0, 2.0, 3.0)], "g int, x double")
+    got = sorted((r.x, r.pctile) for r in percentile_rank_average(df, "x", ["g"]).collect())
     assert got == [(1.0, 25.0), (2.0, 62.5), (2.0, 62.5), (3.0, 100.0)]
 
 

@@ -39,24 +39,20 @@ def test_a_stamp_over_two_batches_keeps_both(spark, tmp_path):
 
 def test_replayed_rows_count_once_across_batches(spark, tmp_path):
     raw = tmp_path / "raw"
-    run = lambda: snapshots.run_available(
-        snapshots.stream_dedupe(snapshots.read_snapshots(spark, str(raw), SCHEMA), ["stationcode", "polled_at"], "polled_at"),
-        str(tmp_path / "t"), str(tmp_path / "c"),
-    )
+    run = lambda: snapshots.stream_dedupe(
+        snapshots.read_snapshots(spark, str(raw), SCHEMA, files_per_batch=1), ["stationcode", "polled_at"], str(tmp_path / "t"), str(tmp_path / "c"))
     drop(raw, "1.json", record(0, "a", 1), record(5, "a", 1))
     run()
     drop(raw, "1-again.json", record(0, "a", 1), record(5, "a", 1), record(10, "a", 1))
     assert run().count() == 3
 
 
-def test_updates_of_a_window_replace_each_other(spark, tmp_path):
+def test_batches_add_up_to_one_window(spark, tmp_path):
     raw = tmp_path / "raw"
 
     def run():
         stream = snapshots.read_snapshots(spark, str(raw), SCHEMA)
-        windows = snapshots.stream_delay_windows(stream, "stationcode", "polled_at", "delay_s", "30 minutes")
-        table = snapshots.run_available(windows, str(tmp_path / "t"), str(tmp_path / "c"), mode="update")
-        return snapshots.latest_updates(table, ["stationcode", "window_start", "window_end"])
+        return snapshots.stream_delay_windows(stream, str(tmp_path / "t"), str(tmp_path / "c"), "stationcode", "polled_at", "delay_s", "30 minutes")
 
     drop(raw, "1.json", record(0, "a", 1, delay=10), record(35, "a", 1, delay=1))
     run()
@@ -68,7 +64,28 @@ def test_updates_of_a_window_replace_each_other(spark, tmp_path):
 def test_dock_state(spark, tmp_path):
     raw = tmp_path / "raw"
     drop(raw, "1.json", record(0, "a", 0), record(5, "a", 0), record(10, "a", 4, docks=0))
-    state = snapshots.stream_dock_state(snapshots.read_snapshots(spark, str(raw), SCHEMA))
-    table = snapshots.run_available(state, str(tmp_path / "t"), str(tmp_path / "c"), mode="update")
-    row = snapshots.latest_updates(table, ["stationcode", "window_start"]).first()
+    state = snapshots.stream_dock_state(snapshots.read_snapshots(spark, str(raw), SCHEMA), str(tmp_path / "t"), str(tmp_path / "c"))
+    row = state.first()
     assert (row.polls, row.last_bikes, row.last_docks, row.seconds_empty, row.seconds_full) == (3, 4, 0, 600, 300)
+
+
+def test_late_rows_count_whatever_the_batches(spark, tmp_path):
+    """Days of lateness, one file per batch, newest first: the same as all in one batch."""
+    raw = tmp_path / "raw"
+    for k, day in enumerate((20, 3, 11, 1, 3)):
+        drop(raw, f"{k}.json", {**record(0, "a", k % 2, delay=day), "polled_at": f"2024-01-{day:02d}T10:00:00Z"})
+    seen = []
+    for files in (1, None):
+        stream = lambda: snapshots.read_snapshots(spark, str(raw), SCHEMA, files_per_batch=files)  # noqa: B023
+        at = lambda name: (str(tmp_path / f"{name}{files}"), str(tmp_path / f"{name}-c{files}"))  # noqa: B023
+        once = snapshots.stream_dedupe(stream(), ["stationcode", "polled_at"], *at("d"))
+        windows = snapshots.stream_delay_windows(stream(), *at("w"), "stationcode", "polled_at", "delay_s", "1 day")
+        docks = snapshots.stream_dock_state(stream(), *at("s"))
+        seen.append((once.count(), *[sorted(map(tuple, x.drop("last_bikes").collect())) for x in (windows, docks)]))
+    assert seen[0] == seen[1] and seen[0][0] == 4 and sum(r[3] for r in seen[0][1]) == 5
+
+
+def test_compaction_keeps_the_sums(spark, tmp_path):
+    parts = spark.createDataFrame([("a", 1, 0), ("a", 2, 1), ("b", 5, 1)], f"line string, departures bigint, {snapshots.BATCH} int")
+    table = snapshots.compact(parts, ["line"], [F.sum("departures").alias("departures")], str(tmp_path / "t"))
+    assert sorted((r.line, r.departures) for r in table.collect()) == [("a", 3), ("b", 5)]
