@@ -129,16 +129,25 @@ def _(t):
 
 @entry("read_delimited_text", """
 SELECT CAST(o_orderkey AS varchar) AS cle, CAST(o_custkey AS varchar) AS client,
-       CASE WHEN o_orderkey % 5 <> 1 THEN o_orderpriority END AS priorite FROM orders""")
+       CASE o_orderkey % 5 WHEN 1 THEN NULL WHEN 3 THEN o_orderpriority || chr(10) || 'fin'
+            WHEN 4 THEN 'dit,"' || o_orderpriority ELSE o_orderpriority END AS priorite FROM orders""")
 def _(t):
+    # Short and long rows, line breaks in quoted cells, quotes inside plain cells, and files with another column order.
     form = F.col("o_orderkey") % 5
-    line = (
-        F.when(form == 1, raw.delimited(";", F.col("o_orderkey"), F.col("o_custkey")))
-        .when(form == 2, raw.delimited(";", F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderpriority"), F.lit("x"), F.lit("y")))
-        .otherwise(raw.delimited(";", F.col("o_orderkey"), F.col("o_custkey"), F.concat(F.lit('"'), "o_orderpriority", F.lit('"'))))
-    )
-    path = raw.write_text(raw.with_header(t.orders.select(line.alias("line")), "cle;client;priorite"), scratch_folder(t.spark, "csv"))
-    return archives.read_delimited_text(t.spark, path)
+    broken = F.concat(F.lit('"'), "o_orderpriority", F.lit('\nfin"'))
+    folder = scratch_folder(t.spark, "csv")
+    for turn, (header, keys) in enumerate((("cle;client;priorite", ("o_orderkey", "o_custkey")), ("client;cle;priorite", ("o_custkey", "o_orderkey")))):
+        first = [F.col(k) for k in keys]
+        line = (
+            F.when(form == 1, raw.delimited(";", *first))
+            .when(form == 2, raw.delimited(";", *first, F.col("o_orderpriority"), F.lit("x"), F.lit("y")))
+            .when(form == 3, raw.delimited(";", *first, broken))
+            .when(form == 4, raw.delimited(";", *first, F.concat(F.lit('dit,"'), "o_orderpriority")))
+            .otherwise(raw.delimited(";", *first, F.concat(F.lit('"'), "o_orderpriority", F.lit('"'))))
+        )
+        rows = t.orders.where(F.col("o_custkey") % 2 == turn).select(line.alias("line"))
+        raw.write_text(raw.with_header(rows, header), f"{folder}/{turn}")
+    return archives.read_delimited_text(t.spark, folder)
 
 
 @entry("read_gzip_csv", """

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import codecs
 import csv
+import gzip
 import io
 import re
 import zipfile
@@ -45,10 +46,6 @@ _CHUNK_ARROW = pa.schema(
     ]
 )
 CHUNK_CHARS = 1 << 20
-MAX_SHAPES = 500
-
-_CLOSED_CELL = re.compile(r'(^|[;,\t|])"(?:[^"]|"")*"')
-_OPEN_CELL = re.compile(r'(?:^|[;,\t|])"')
 
 Opener = Callable[[], io.BufferedIOBase]
 
@@ -74,33 +71,42 @@ def base_name(path: Column) -> Column:
 
 # -- encodings ----------------------------------------------------------------------------
 
-def _decodes(open_bytes: Opener, encoding: str) -> bool:
-    decoder = codecs.getincrementaldecoder(encoding)()
-    with open_bytes() as stream:
-        try:
-            while block := stream.read(1 << 20):
-                decoder.decode(block)
-            decoder.decode(b"", final=True)
-        except UnicodeDecodeError:
-            return False
-    return True
-
-
 def pick_encoding(open_bytes: Opener) -> str:
     """Byte-order marks first, then NULs as a sign of wide characters, then 8-bit encodings.
 
-    latin-1 accepts anything, so it can only come last.
+    One pass over the whole member tests all candidates. latin-1 accepts anything, so it can only
+    come last.
     """
     with open_bytes() as stream:
-        head = stream.read(1024)
-    if head[:2] in WIDE_MARKS:
-        return "utf-16"
-    if head.startswith(codecs.BOM_UTF8):
+        block = stream.read(1 << 20)
+        if block[:2] in WIDE_MARKS:
+            return "utf-16"
+        marked = block.startswith(codecs.BOM_UTF8)
+        open_decoders = {e: codecs.getincrementaldecoder(e)() for e in ("utf-8", "cp1252", "utf-16-le", "utf-16-be")}
+        nuls, at = [0, 0], 0
+        while True:
+            last = not block
+            if b"\0" in block:
+                even = block[at % 2 :: 2].count(b"\0")
+                nuls[0] += even
+                nuls[1] += block.count(b"\0") - even
+            for encoding, decoder in list(open_decoders.items()):
+                try:
+                    decoder.decode(block, final=last)
+                except UnicodeDecodeError:
+                    del open_decoders[encoding]
+            at += len(block)
+            if last:
+                break
+            block = stream.read(1 << 20)
+    if any(nuls):
+        # The high byte of most wide characters is zero: second in little-endian text, first in big-endian.
+        wide = "utf-16-le" if nuls[1] >= nuls[0] else "utf-16-be"
+        if wide in open_decoders:
+            return wide
+    if marked and "utf-8" in open_decoders:
         return "utf-8-sig"
-    candidates = list(EIGHT_BIT_ENCODINGS)
-    if b"\0" in head:
-        candidates.insert(0, "utf-16-le" if head[1:2] == b"\0" else "utf-16-be")
-    return next(e for e in candidates if e == "latin-1" or _decodes(open_bytes, e))
+    return next((e for e in EIGHT_BIT_ENCODINGS if e in open_decoders), "latin-1")
 
 
 def _decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,25 +125,65 @@ def decode_member(files: DataFrame) -> DataFrame:
 
 # -- members and lines --------------------------------------------------------------------
 
-def _records(text: Iterable[str]) -> Iterator[str]:
+def widest_separator(header: str) -> str:
+    """The most frequent of ``; , TAB |`` outside a header line's quoted cells; the first of them among equals."""
+    bare = re.sub(r'"(?:[^"]|"")*"', "", header)
+    return max((";", ",", "\t", "|"), key=bare.count)
+
+
+def _ends_open(line: str, separator: str, is_open: bool) -> bool:
+    """Whether a quoted cell is open at the end of a line, given whether one is at its beginning.
+
+    A quote opens a cell only at its beginning; inside, two quotes are one character.
+    """
+    at = 0
+    if not is_open:
+        if line.startswith('"'):
+            is_open, at = True, 1
+    while True:
+        if is_open:
+            at = line.find('"', at)
+            if at < 0:
+                return True
+            if line.startswith('""', at):
+                at += 2
+                continue
+            is_open, at = False, at + 1
+        at = line.find(separator + '"', at)
+        if at < 0:
+            return False
+        is_open, at = True, at + len(separator) + 1
+
+
+def _records(text: Iterable[str], separator: str | None = None) -> Iterator[str]:
     """Lines, joined where a quoted cell runs over the line end; blank lines are dropped.
 
-    A cell that stays open for a whole chunk is a broken file and is refused.
+    The separator is the first line's own unless given. A quote that nothing closes before the end is a
+    character: its line stands alone and the lines after it are read again.
     """
-    pending = ""
-    for line in text:
-        line = pending + line
-        pending = ""
-        if '"' in line and _OPEN_CELL.search(_CLOSED_CELL.sub(r"\1", line)):
-            if len(line) > CHUNK_CHARS:
-                raise ValueError(f"quoted cell never closed: {line[:80]!r}")
-            pending = line
+    queue, lines = [], iter(text)
+    pending: list[str] = []
+    is_open = False
+    while True:
+        line = queue.pop() if queue else next(lines, None)
+        if line is None:
+            if not pending:
+                return
+            first, *rest = pending
+            queue = rest[::-1]
+            pending, is_open = [], False
+            if first := first.rstrip("\r\n"):
+                yield first
             continue
-        line = line.rstrip("\r\n")
-        if line:
-            yield line
-    if pending.rstrip("\r\n"):
-        yield pending.rstrip("\r\n")
+        if separator is None:
+            separator = widest_separator(line)
+        is_open = _ends_open(line, separator, is_open) if is_open or '"' in line else False
+        pending.append(line)
+        if not is_open:
+            record = "".join(pending).rstrip("\r\n")
+            pending = []
+            if record:
+                yield record
 
 
 def _chunk(path: str, member: str, header: str | None, number: int, lines: list[str]) -> pa.RecordBatch:
@@ -145,11 +191,16 @@ def _chunk(path: str, member: str, header: str | None, number: int, lines: list[
     return pa.RecordBatch.from_pydict(columns, schema=_CHUNK_ARROW)
 
 
-def _member_chunks(path: str, member: str, open_bytes: Opener, encoding: str | None) -> Iterator[pa.RecordBatch]:
+def _member_chunks(
+    path: str, member: str, open_bytes: Opener, encoding: str | None, separator: str | None = None, header_only: bool = False
+) -> Iterator[pa.RecordBatch]:
     chosen, errors = (encoding, "replace") if encoding else (pick_encoding(open_bytes), "strict")
     with open_bytes() as stream:
-        records = _records(io.TextIOWrapper(stream, encoding=chosen, errors=errors, newline="\n"))
+        records = _records(io.TextIOWrapper(stream, encoding=chosen, errors=errors, newline="\n"), separator)
         header = next(records, None)
+        if header_only:
+            yield _chunk(path, member, header, 0, [])
+            return
         number, size, lines = 0, 0, []
         for record in records:
             lines.append(record)
@@ -161,7 +212,7 @@ def _member_chunks(path: str, member: str, open_bytes: Opener, encoding: str | N
             yield _chunk(path, member, header, number, lines)
 
 
-def _expander(encoding: str | None, wanted: str | None):
+def _expander(encoding: str | None, wanted: str | None, separator: str | None = None, header_only: bool = False):
     pattern = re.compile(wanted) if wanted else None
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +221,9 @@ def _expander(encoding: str | None, wanted: str | None):
                 path, buffer = path_cell.as_py(), content.as_buffer()
                 if not path.lower().endswith(".zip"):
                     name = path.rsplit("/", 1)[-1]
-                    yield from _member_chunks(path, name, lambda: io.BytesIO(buffer), encoding)
+                    plain = lambda: pa.BufferReader(buffer)
+                    packed = lambda: gzip.GzipFile(fileobj=pa.BufferReader(buffer))
+                    yield from _member_chunks(path, name, packed if name.lower().endswith(".gz") else plain, encoding, separator, header_only)
                     continue
                 with zipfile.ZipFile(pa.BufferReader(buffer)) as archive:
                     for info in archive.infolist():
@@ -178,7 +231,7 @@ def _expander(encoding: str | None, wanted: str | None):
                             continue
                         name = info.filename.rsplit("/", 1)[-1]
                         if pattern is None and not name.lower().endswith(".zip") or pattern and pattern.search(name):
-                            yield from _member_chunks(path, name, lambda: archive.open(info), encoding)
+                            yield from _member_chunks(path, name, lambda: archive.open(info), encoding, separator, header_only)
                         else:
                             yield _chunk(path, name, None, 0, [])
 
@@ -257,15 +310,11 @@ def _header_cells(header: str, separator: str, rule: Callable[[str], str]) -> li
 def header_shapes(chunks: DataFrame, separator: Callable[[Column], Column] | str, rule=canonical_name) -> list[tuple[str, str, list[str]]]:
     """The distinct headers with their separator and cell names.
 
-    Reads the header column only. A feed has a handful of layouts; hundreds of them mean that
-    data lines were taken for headers, which is refused.
+    Reads the header column only: one row per layout reaches the driver. A layout that lacks what
+    the feed needs is refused by the gate on required columns.
     """
     sep = F.lit(separator) if isinstance(separator, str) else separator(F.col("header"))
-    found = (
-        chunks.where(F.col("header").isNotNull()).select(sep.alias("sep"), "header").distinct().limit(MAX_SHAPES + 1).collect()
-    )
-    if len(found) > MAX_SHAPES:
-        raise ValueError(f"more than {MAX_SHAPES} different headers")
+    found = chunks.where(F.col("header").isNotNull()).select(sep.alias("sep"), "header").distinct().collect()
     return [(r.sep, r.header, _header_cells(r.header, r.sep, rule)) for r in sorted(found)]
 
 
@@ -330,18 +379,18 @@ def parse_members(
 
 # -- plain readers ------------------------------------------------------------------------
 
-def read_delimited_text(spark: SparkSession, path, sep: str = ";", encoding: str = "UTF-8", file_col: str | None = None) -> DataFrame:
-    """Header CSV with every column as text. Files of one call must share a header.
+def read_delimited_text(spark: SparkSession, path, sep: str = ";", encoding: str = "utf-8-sig", file_col: str | None = None) -> DataFrame:
+    """Header CSV (plain or gzip) with every column as text, each file under its own header.
 
+    Columns may come in another order or be missing from file to file; quoted cells may hold line breaks. A first
+    pass reads the headers alone. A file is one task until its rows are spread.
     ``file_col`` adds the path of each row's file, for feeds that label rows by file name.
     """
-    reader = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
-    reader = reader.option("sep", sep).option("encoding", encoding).option("escape", '"')
-    df = reader.option("recursiveFileLookup", True).csv(path)
-    names = [plain_name(c) for c in df.columns]
-    if file_col:
-        return df.select("*", F.col("_metadata.file_path").alias(file_col)).toDF(*names, file_col)
-    return df.toDF(*names)
+    files = raw_files(spark, path).select("path", "content")
+    heads = files.mapInArrow(_expander(encoding, None, sep, header_only=True), CHUNK_SCHEMA)
+    chunks = files.mapInArrow(_expander(encoding, None, sep), CHUNK_SCHEMA)
+    rows = parse_members(chunks, sep, plain_name, ("path",), header_shapes(heads, sep, plain_name))
+    return rows.withColumnRenamed("path", file_col) if file_col else rows.drop("path")
 
 
 def read_gzip_csv(spark: SparkSession, path, sep: str = ";", partitions: int | None = None, file_col: str | None = None) -> DataFrame:

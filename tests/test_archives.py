@@ -108,6 +108,8 @@ TEXT = "Clé;Été – fin\n1;œuvre\n"
         (b"a" * (1 << 20) + "é".encode("utf-8"), "utf-8"),
         (b"a" * ((1 << 20) - 1) + "é".encode("utf-8"), "utf-8"),
         (b"", "utf-8"),
+        # No NUL in the first two kilobytes.
+        (("œ" * 1200 + TEXT).encode("utf-16-le"), "utf-16-le"),
     ],
 )
 def test_encoding_ladder(data, encoding):
@@ -174,3 +176,40 @@ def test_unreadable_json_is_an_error(spark, tmp_path):
     (tmp_path / "a.json").write_text("<html>busy</html>")
     with pytest.raises(Exception, match="not an array of records"):
         archives.read_json_records(spark, str(tmp_path), "id string").collect()
+
+
+@pytest.mark.parametrize(
+    "body, records",
+    [
+        ('a;b\n1;dit,"ouvert;5\n2;x\n', ["a;b", '1;dit,"ouvert;5', "2;x"]),
+        ('a;b\n1;"never closed\n2;x\n3;y\n', ["a;b", '1;"never closed', "2;x", "3;y"]),
+        ('a;b\n1;"two\n\nbreaks ""q"";"\n"3";"z"\n', ["a;b", '1;"two\n\nbreaks ""q"";"', '"3";"z"']),
+        ('"a,1"\t"b"\n"x\ty"\t"l\nm"\r\n', ['"a,1"\t"b"', '"x\ty"\t"l\nm"']),
+        ("", []),
+    ],
+)
+def test_record_splitter(body, records):
+    assert list(archives._records(io.StringIO(body, newline="\n"))) == records
+
+
+def test_a_cell_of_many_lines_is_one_record():
+    body = 'a;b\n1;"' + "line\n" * 400_000 + '"\n2;x\n'
+    assert [len(r) for r in archives._records(io.StringIO(body, newline="\n"))] == [3, 4 + 5 * 400_000, 3]
+
+
+def test_files_under_their_own_headers(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "2024-01.csv").write_text("\ufeffiu_ac;t_1h;q;k\n1;t1;10;0.5\n")
+    (tmp_path / "2024-02.csv").write_text('iu_ac;q;t_1h;k\n2;20;t2;"ligne un\nligne deux"\n')
+    (tmp_path / "2024-03.csv.gz").write_bytes(gzip.compress(b"iu_ac;t_1h\n3;t3\n"))
+    (tmp_path / "empty.csv").write_text("")
+    rows = archives.read_delimited_text(spark, str(tmp_path), file_col="file")
+    got = sorted((r.iu_ac, r.t_1h, r.q, r.k, r.file[-6:]) for r in rows.collect())
+    assert got == [("1", "t1", "10", "0.5", "01.csv"), ("2", "t2", "20", "ligne un\nligne deux", "02.csv"), ("3", "t3", None, None, "csv.gz")]
+
+
+def test_many_layouts(spark, tmp_path):
+    zipped(tmp_path / "many.zip", {f"{k}.csv": f"a;c{k}\n{k};x\n" for k in range(520)})
+    chunks = archives.expand_archive(archives.raw_files(spark, str(tmp_path), "*.zip"))
+    assert len(archives.header_shapes(chunks, ";")) == 520
