@@ -44,12 +44,13 @@ def publish_feed(
     notes: Mapping[str, Column] | None = None,
     drop: Iterable[str] = (),
     immutable: bool = False,
+    within: Iterable[str] = (),
 ) -> DataFrame:
     """Gate and publish typed rows, and report what was written.
 
     Rows are staged once, so that gates, publish and report never parse raw files again. A
     failing gate raises before anything is published. ``drop`` names columns only the gates
-    need. ``immutable`` keeps partitions that exist already, as snapshots demand. An empty frame
+    need. ``immutable`` keeps partitions that exist already, as snapshots demand; ``within`` tells polls of one stamp apart. An empty frame
     publishes nothing and reports nothing.
     """
     label = part if isinstance(part, Column) else F.lit(part)
@@ -60,7 +61,7 @@ def publish_feed(
     table = f"{lake}/{source}"
     if gates.gate_empty(published):
         if immutable:
-            publish_snapshot(published, table, PART)
+            publish_snapshot(published, table, PART, tuple(within))
         else:
             publish_partition(published, table)
     return run_report(published, source, table, notes)

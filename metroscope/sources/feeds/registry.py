@@ -35,6 +35,7 @@ class Feed:
     checks: tuple = ()
     drop: tuple[str, ...] = ()
     immutable: bool = False
+    within: tuple[str, ...] = ()
 
 
 def _from_file(pattern: str) -> Column:
@@ -147,7 +148,7 @@ def feeds() -> dict[str, Feed]:
             polled,
             immutable=True,
         ),
-        "departures": Feed("prim_realtime_departures", _departures, polled, immutable=True),
+        "departures": Feed("prim_realtime_departures", _departures, polled, immutable=True, within=("monitoring_ref",)),
         "network": Feed(
             "prim_realtime_network",
             lambda spark, raw: realtime.normalise_network_snapshot(_polls(spark, raw).drop("file")),
@@ -171,7 +172,7 @@ def collect_feed(spark: SparkSession, name: str, raw: str, lake: str, staging: s
     feed = known[name]
     return publish_feed(
         feed.rows(spark, raw), feed.table, lake, staging, feed.part,
-        checks=feed.checks, notes=report_notes(feed.table), drop=feed.drop, immutable=feed.immutable,
+        checks=feed.checks, notes=report_notes(feed.table), drop=feed.drop, immutable=feed.immutable, within=feed.within,
     )
 
 

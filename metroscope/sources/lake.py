@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -154,18 +154,24 @@ def publish_partition(df: DataFrame, table: str, part: str | Column | None = Non
     )
 
 
-def publish_snapshot(df: DataFrame, table: str, stamp_col: str = "polled_at") -> None:
-    """One immutable partition per poll: stamps already in the table are left untouched.
+def publish_snapshot(df: DataFrame, table: str, stamp_col: str = "polled_at", within: Sequence[str] = ()) -> None:
+    """One immutable partition per poll: what the table has of a stamp is left untouched.
 
-    Known stamps are partition directories; reading them opens no data file.
+    ``within`` names columns that tell the polls of one stamp apart, such as the stop that was asked: a stop that
+    arrives later joins its stamp's partition, a stop already there is not written twice. Known stamps come from
+    the table's partition column (and ``within``) and never pass through the driver. New polls are added by one
+    write, which appears as a whole or not at all.
     """
     out = df.withColumn(PART, F.date_format(stamp_col, "yyyyMMdd'T'HHmmss'Z'") if not isinstance(
         df.schema[stamp_col].dataType, T.StringType) else F.col(stamp_col))
     if path_exists(df.sparkSession, table):
-        known = [n.removeprefix(f"{PART}=") for n in list_names(df.sparkSession, table, folders=True)]
-        stamps = df.sparkSession.createDataFrame([(k,) for k in known], f"{PART} string")
-        out = out.join(stamps, PART, "left_anti")
-    publish_partition(out, table)
+        stored = df.sparkSession.read.parquet(table).withColumn(PART, F.col(PART).cast("string"))
+        known = stored.select(PART, *within).distinct()
+        same = F.lit(True)
+        for c in (PART, *within):
+            same = same & out[c].eqNullSafe(known[c])
+        out = out.join(known, same, "left_anti")
+    out.hint("rebalance", PART).write.mode("append").option("compression", "zstd").partitionBy(PART).parquet(table)
 
 
 def append_manifest(entries: DataFrame, path: str) -> None:

@@ -110,3 +110,10 @@ def test_run_report(spark, tmp_path):
     )
     got = sorted((r.partition, r.rows, r.notes) for r in report.collect())
     assert got == [("75", 2, ["1 gaps"]), ("77", 1, [])]
+
+
+def test_a_second_stop_of_a_known_stamp_is_kept(spark, tmp_path):
+    table, schema = str(tmp_path / "t"), "polled_at string, monitoring_ref string, k int"
+    for rows in ([("20240101T000000Z", "a", 1)], [("20240101T000000Z", "a", 99), ("20240101T000000Z", "b", 2)], [("20240101T000000Z", None, 3)]):
+        lake.publish_snapshot(spark.createDataFrame(rows, schema), table, within=("monitoring_ref",))
+    assert sorted(r.k for r in lake.scan_table(spark, table).collect()) == [1, 2, 3]
