@@ -35,8 +35,11 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     kept = similar_components(docs, percent=80, size=5, orders=3).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("kept")).distinct()
     same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
-    found = docs.select(*COLUMNS).join(kept, F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi")
-    return found.withColumn("copy", F.row_number().over(same)).where("copy = 1").select(*COLUMNS)
+    # The rows with an id join on it alone, so that one shuffle serves the join and the window.
+    numbered = docs.select(*COLUMNS).join(kept, F.col("doc_id") == F.col("kept"), "left_semi")
+    others = docs.select(*COLUMNS).where("doc_id is null").join(kept.where("kept is null"), F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi")
+    first = [rows.withColumn("copy", F.row_number().over(same)).where("copy = 1").select(*COLUMNS) for rows in (numbered, others)]
+    return first[0].unionByName(first[1])
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
