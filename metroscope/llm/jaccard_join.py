@@ -16,11 +16,13 @@ different orders at once even less.
 4. Each token's smallest node is its hub. All candidates that share a token share its hub, so the
    hub's group (each node once, however many tokens it shares) holds every candidate pair. Only the
    marked tokens travel at first: a member stays if some other member of a fitting size shares enough of them.
-5. Groups are verified in bounded blocks: first everything against the hub, then what the hub did
+5. First every node is in the group of its smallest hub; then those groups follow that hold nodes of
+   different smallest hubs, for only they have pairs not yet seen.
+6. Groups are verified in bounded blocks: first everything against the smallest member, then what it did
    not link against the whole group. A pair is verified if its prefixes share enough under all orders.
-   Nodes that the hub links belong together already, so no pair between them is looked at and no
+   Nodes that it links belong together already, so no pair between them is looked at and no
    pair is ever a row; only links that join parts come out.
-6. Components of the links.
+7. Components of the links.
 
 Token and node identities are 64-bit hashes; with n different items about n*n / 2**65 pairs collide.
 The tables of fixed size only steer the order and the candidates: a collision there costs time, never
@@ -213,23 +215,32 @@ def _links(active: DataFrame, levels: bytes, percent: int, orders: int) -> DataF
     marked = active.select("node", "shared", (F.length("tokens") / 8).cast("int").alias("n"))
     members = staged(_with_partner(members, marked.groupBy("node").agg(F.first("shared").alias("shared"), F.first("n").alias("n")), percent), "partners")
     # One row per node: copies in several batches repeat it.
-    sets = active.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
-    filled = staged(members.join(sets, "node").select("hub", "node", "tokens"), "filled")
-    blocks = filled.groupBy("hub").agg(F.sum(F.length("tokens")).alias("bytes")).select(
-        "hub", F.ceil(F.col("bytes") / BLOCK_BYTES).cast("int").alias("blocks"))
+    sets = staged(active.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens")), "whole-sets")
+    # A node of a dense group has many hubs. Its smallest comes first; then only groups of nodes with different smallest hubs are left.
+    smallest = staged(members.groupBy("node").agg(F.min("hub").alias("smallest")), "smallest")
+    first = _resolved(smallest.select(F.col("smallest").alias("hub"), "node"), sets, levels, percent, orders)
+    mixed = members.join(smallest, "node").groupBy("hub").agg(F.min("smallest").alias("low"), F.max("smallest").alias("high")).where("low < high").select("hub")
+    return first.unionByName(_resolved(members.join(mixed, "hub"), sets, levels, percent, orders))
+
+
+def _resolved(groups: DataFrame, sets: DataFrame, levels: bytes, percent: int, orders: int) -> DataFrame:
+    """Links (a, b) that join what the pairs within groups (hub, node) join, found in blocks of bounded size."""
+    filled = staged(groups.join(sets, "node").select("hub", "node", "tokens"), "filled")
+    blocks = filled.groupBy("hub").agg(F.min("node").alias("lead"), F.ceil(F.sum(F.length("tokens")) / BLOCK_BYTES).cast("int").alias("blocks"))
     part = lambda by: F.pmod(F.xxhash64("node"), F.col(by)).cast("int")
     grouped = filled.join(blocks, "hub")
-    hub_rows = grouped.where("node = hub").select("hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("turn"), F.lit(True).alias("asks"), "node", "tokens")
-    rest = grouped.where("node <> hub").select("hub", part("blocks").alias("block"), F.lit(0).alias("turn"), F.lit(False).alias("asks"), "node", "tokens")
-    first = staged(_verified(hub_rows.unionByName(rest), levels, percent, orders), "hub-links")
-    left = members.where("node <> hub").join(first.select(F.col("a").alias("hub"), F.col("b").alias("node")), ["hub", "node"], "left_anti")
-    asking = filled.join(left, ["hub", "node"], "left_semi")
+    leads = grouped.where("node = lead").select("hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("turn"), F.lit(True).alias("asks"), "node", "tokens")
+    rest = grouped.where("node <> lead").select("hub", part("blocks").alias("block"), F.lit(0).alias("turn"), F.lit(False).alias("asks"), "node", "tokens")
+    first = staged(_verified(leads.unionByName(rest), levels, percent, orders), "lead-links")
+    # What the lead of its group does not link asks the whole group.
+    linked = first.select(F.col("a").alias("lead"), F.col("b").alias("node")).distinct()
+    asking = grouped.where("node <> lead").join(linked, ["lead", "node"], "left_anti")
     turns = asking.groupBy("hub").agg(F.ceil(F.sum(F.length("tokens")) / BLOCK_BYTES).cast("int").alias("turns"))
-    asking = asking.join(turns, "hub").join(blocks, "hub").select(
+    asks = asking.join(turns, "hub").select(
         "hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), part("turns").alias("turn"), F.lit(True).alias("asks"), "node", "tokens")
-    asked = filled.where("node <> hub").join(turns, "hub").join(blocks, "hub").select(
+    asked = grouped.where("node <> lead").join(turns, "hub").select(
         "hub", part("blocks").alias("block"), F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), F.lit(False).alias("asks"), "node", "tokens")
-    return first.unionByName(_verified(asking.unionByName(asked), levels, percent, orders))
+    return first.unionByName(_verified(asks.unionByName(asked), levels, percent, orders))
 
 
 def _with_partner(members: DataFrame, marked: DataFrame, percent: int) -> DataFrame:

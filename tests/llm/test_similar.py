@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from metroscope.llm.components import connected_components
-from metroscope.llm.jaccard_join import least_shared, linked_pairs, ordered_prefix, similar_components
+from metroscope.llm.jaccard_join import LEVEL_BITS, least_shared, linked_pairs, ordered_prefix, similar_components
 from metroscope.llm.words import shingle_set, word_hashes
 
 from . import awkward
@@ -70,7 +70,7 @@ def test_dense_groups_in_blocks(spark, monkeypatch, block):
 
 def test_prefixes_lose_no_linked_pair():
     rng = random.Random(3)
-    levels = np.zeros(1 << 23, dtype=np.uint8)
+    levels = np.zeros(1 << LEVEL_BITS, dtype=np.uint8)
     for _ in range(300):
         pool = [rng.getrandbits(64) for _ in range(rng.randint(5, 200))]
         a = np.unique(np.array(pool, dtype=np.uint64))
