@@ -19,8 +19,8 @@ def lenient_double(c: Column) -> Column:
 
 
 def whole_count(c: Column) -> Column:
-    """A count with any grouping spaces removed; masked text becomes null."""
-    return without_spaces(c).try_cast("bigint")
+    """A count with any grouping spaces removed; masked text becomes null. Plain digits, the usual case, are read as they are."""
+    return F.when(c.rlike("^[0-9]+$"), c).otherwise(without_spaces(c)).try_cast("bigint")
 
 
 def decimal_comma(c: Column) -> Column:

@@ -42,11 +42,6 @@ def unknown_venue_ids(requested: DataFrame, registry: DataFrame) -> DataFrame:
     return requested.select("venue_id").distinct().join(registry.select("venue_id"), "venue_id", "left_anti")
 
 
-def restrict_to_accidents(table: DataFrame, characteristics: DataFrame) -> DataFrame:
-    """Places, users or vehicles of the accidents kept in the regional characteristics."""
-    return table.join(characteristics.select("num_acc"), "num_acc", "left_semi")
-
-
 def accident_tables_join(characteristics: DataFrame, table: DataFrame) -> DataFrame:
     """Enrich one of the child tables with its accident."""
     return characteristics.join(table, "num_acc")

@@ -191,10 +191,6 @@ def top_od_flows(flows: DataFrame, n: int = 20, keys: Sequence[str] = ("CODGEO",
     return flow_totals(flows, keys, weight).orderBy(F.desc("workers"), *keys).limit(n)
 
 
-def destination_totals(flows: DataFrame, weight: str = "nb_actifs") -> DataFrame:
-    return flow_totals(flows, ("DCLT",), weight)
-
-
 def trip_purpose_breakdown(users: DataFrame, characteristics: DataFrame) -> DataFrame:
     """Accident users of the region by trip purpose. A semi join: accidents only filter."""
     kept = users.join(characteristics.select("num_acc"), "num_acc", "left_semi")

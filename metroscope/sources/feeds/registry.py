@@ -72,7 +72,7 @@ def _bulk(key: str, spark, raw):
 
 
 def _accidents(table: str, spark, raw):
-    chunks = tables.accident_chunks(archives.raw_files(spark, raw, "*.csv"))
+    chunks = tables.accident_chunks(archives.raw_files(spark, raw, "*.csv"), table)
     return tables.normalise_accidents(chunks, table)
 
 

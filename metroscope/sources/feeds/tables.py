@@ -118,10 +118,13 @@ def normalise_bulk_monthly(strings: DataFrame, spec: BulkTable, months: DataFram
 
 # -- accidents ----------------------------------------------------------------------------
 
-def accident_chunks(files: DataFrame) -> DataFrame:
-    """Accident files of all tables and years, decoded, with (table, year) from the file name."""
+def accident_chunks(files: DataFrame, table: str | None = None) -> DataFrame:
+    """Accident files of all years, decoded, with (table, year) from the file name: of one table, or of all.
+
+    Files of other tables are left out by name, before any byte is decoded.
+    """
     named = classify_yearly_tables(files.withColumn("name", base_name(F.col("path"))))
-    known = named.where(F.col("table").isNotNull())
+    known = named.where(F.col("table") == table if table else F.col("table").isNotNull())
     return classify_yearly_tables(expand_archive(known).withColumn("name", F.col("member")))
 
 
