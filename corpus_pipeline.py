@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from metroscope.llm.decision_lists import quality_verdicts
+from metroscope.llm.decision_lists import any_rule, base_failed, quality_verdicts, text_statistics
 from metroscope.llm.jaccard_join import similar_components
 from metroscope.llm.mixing import in_mixed_order
 from metroscope.llm.packing import packed
@@ -26,8 +26,10 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the learned decision list; the others go."""
-    verdicts, _ = quality_verdicts(docs, labels(spark, sf_dir), F.struct(*COLUMNS))
-    return verdicts.where("kept").select(*[F.col(f"row.{c}").alias(c) for c in COLUMNS])
+    _, rules = quality_verdicts(docs, labels(spark, sf_dir), F.struct("doc_id"))
+    # Once the rules are known, one scan applies them: no text is written besides the result.
+    judged = text_statistics(docs, F.struct(*COLUMNS))
+    return judged.where(~base_failed() & ~any_rule(rules)).select(*[F.col(f"row.{c}").alias(c) for c in COLUMNS])
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

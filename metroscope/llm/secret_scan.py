@@ -49,6 +49,12 @@ def pieces(text: Column, pattern: str) -> Column:
         lambda gap, match: F.struct(gap.alias("gap"), match.alias("match")))).otherwise(none)
 
 
+def has_match(text: Column) -> Column:
+    """Whether ``scanned`` finds anything in a text: access keys and hexadecimal runs lie inside tokens."""
+    text = F.coalesce(text, F.lit(""))
+    return ((F.contains(text, F.lit(":")) | F.contains(text, F.lit("="))) & F.regexp_like(text, F.lit(ASSIGN))) | F.regexp_like(text, F.lit(TOKEN))
+
+
 def scanned(docs: DataFrame, carry: Column) -> DataFrame:
     """One scan: (rid, row, pieces of every kind), written so that rid stays what it is."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -193,7 +199,8 @@ def redact_secrets(docs: DataFrame, columns: tuple[str, ...], mask: str = "[SECR
 
     Every row stays. Overlapping spans are masked as one. A null text stays null.
     """
-    table = scanned(docs, F.struct(*columns))
+    # Spans are keyed by doc_id and a hash of the text, so that no text is written besides the result.
+    table = scanned(docs, F.struct("doc_id", F.xxhash64("text").alias("hash")))
     spans = secret_spans(table, rate, level)
     order = Window.partitionBy("rid").orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -201,9 +208,12 @@ def redact_secrets(docs: DataFrame, columns: tuple[str, ...], mask: str = "[SECR
     merged = opened.withColumn("part", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))).groupBy("rid", "part").agg(
         F.min("start").alias("start"), F.max("end").alias("end"))
     masks = merged.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("masks"))
+    # Repeated rows share their masks.
+    keyed = table.select("rid", "row").join(masks, "rid").groupBy(F.col("row.doc_id").alias("key_id"), F.col("row.hash").alias("key_hash")).agg(F.first("masks").alias("masks"))
     # Only rows with a match of any kind take part in the join; the others pass as they are.
-    touched = F.size("assign") + F.size("access") + F.size("hex") + F.size("random") > 0
-    joined = table.where(touched).select("rid", "row").join(masks, "rid", "left").withColumn("at", F.coalesce("masks", F.array().cast("array<struct<start:bigint,end:bigint>>")))
+    touched = docs.where(has_match(F.col("text"))).select(F.struct(*columns).alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_hash"))
+    joined = touched.join(keyed, F.col("own_id").eqNullSafe(F.col("key_id")) & (F.col("own_hash") == F.col("key_hash")), "left").withColumn(
+        "at", F.coalesce("masks", F.array().cast("array<struct<start:bigint,end:bigint>>")))
     rebuilt = F.expr(
         "concat(array_join(transform(at, (s, i) -> concat(substring(row.text, cast(coalesce(get(at, i - 1).end, 0) + 1 as int), "
         "cast(s.start - coalesce(get(at, i - 1).end, 0) as int)), mask)), ''), substring(row.text, cast(coalesce(get(at, size(at) - 1).end, 0) + 1 as int)))")
@@ -216,4 +226,4 @@ def redact_secrets(docs: DataFrame, columns: tuple[str, ...], mask: str = "[SECR
         elif name == "n_chars":
             value = F.when(F.size("at") > 0, F.length("new").cast("long")).otherwise(value)
         out.append(value.alias(name))
-    return changed.select(*out).unionByName(table.where(~touched).select(*[F.col(f"row.{c}").alias(c) for c in columns]))
+    return changed.select(*out).unionByName(docs.where(~has_match(F.col("text"))).select(*columns))
