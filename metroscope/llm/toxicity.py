@@ -86,23 +86,29 @@ def _vectors(sample: DataFrame, kept: np.ndarray, ratios: np.ndarray) -> DataFra
     return sample.select("text", "label", "weight").mapInArrow(run, "label int, weight double, at array<int>, value array<double>")
 
 
-def train(labelled: DataFrame, per_class: int = PER_CLASS, features: int = FEATURES, regularisation: float = 0.002) -> bytes:
-    """A model from rows (doc_id, text, label 0/1): at most ``per_class`` rows of each class, those of the smallest hash of doc_id.
+def train(docs: DataFrame, known: DataFrame, per_class: int = PER_CLASS, features: int = FEATURES, regularisation: float = 0.002) -> bytes:
+    """A model from texts (doc_id, text) and labels (doc_id, label 0/1), one per doc_id.
 
-    Without rows of both classes the model gives every text the share of label 1 (0 without any row).
+    It learns from at most ``per_class`` documents of each class, those of the smallest hash of doc_id. They are chosen by
+    number, so only the chosen texts move. Without rows of both classes the model gives every text the share of label 1 (0 without any row).
     """
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.linalg import SparseVector, VectorUDT
 
-    sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    present = docs.select(F.col("doc_id").cast("long")).distinct().join(known, "doc_id").select("doc_id", F.col("label").cast("int"))
+    sizes = {r["label"]: r["count"] for r in present.groupBy("label").count().collect()}
     saved = io.BytesIO()
     if not (sizes.get(0) and sizes.get(1)):
         np.savez(saved, grams=np.zeros(0, np.uint64), weights=np.zeros(0), bias=np.array(40.0 if sizes.get(1) else -40.0))
         return saved.getvalue()
     turn = F.xxhash64("doc_id")
-    chosen = [labelled.where(F.col("label") == y).orderBy(turn, "doc_id").limit(per_class).withColumn(
-        "weight", F.lit(max(1.0, sizes[y] / per_class))) for y in (0, 1)]
-    sample = staged(chosen[0].unionByName(chosen[1]).select("text", F.col("label").cast("int"), "weight").repartition(24), "sample")
+    chosen = []  # 2 * per_class numbers at most
+    for y in (0, 1):
+        weight = max(1.0, sizes[y] / per_class)
+        chosen += [(r["doc_id"], y, weight) for r in present.where(F.col("label") == y).orderBy(turn, "doc_id").limit(per_class).collect()]
+    numbers = F.broadcast(docs.sparkSession.createDataFrame(chosen, "chosen_id long, label int, weight double"))
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(numbers, F.col("doc_id") == F.col("chosen_id"))
+    sample = staged(texts.select("text", "label", "weight").repartition(24), "sample")
     positive, negative = (min(per_class, sizes[y]) for y in (1, 0))
     ratio = F.log((F.col("p") + 1) / F.lit(positive + 2.0)) - F.log((F.col("q") + 1) / F.lit(negative + 2.0))
     ranked = _counted(sample).where("p + q >= 3").withColumn("ratio", ratio).withColumn("strength", F.abs("ratio") / F.sqrt(1 / (F.col("p") + 1) + 1 / (F.col("q") + 1)))
@@ -166,5 +172,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, **limits) -> DataFrame:
     is not held out. Repeated rows give repeated results; other columns are ignored.
     """
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label")).where(~held_out())
-    model = train(docs.select("doc_id", "text").join(known, "doc_id"), **limits)
+    model = train(docs.select("doc_id", "text"), known, **limits)
     return score(docs, model).select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
