@@ -129,7 +129,8 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, words: int
         raise ValueError("a pair of words must fit 32 bits")
     known = vocabulary(docs, words)
     targets = target_ids.where("doc_id is not null").select(F.col("doc_id").alias("t")).distinct()
-    flagged = docs.select("doc_id", "text").join(targets, F.col("doc_id") == F.col("t"), "left").select("text", F.col("t").isNotNull().alias("target"))
+    # Joined by shuffling at every size: whether the ids fit a broadcast would change what large inputs cost.
+    flagged = docs.select("doc_id", "text").join(targets.hint("merge"), F.col("doc_id") == F.col("t"), "left").select("text", F.col("t").isNotNull().alias("target"))
     counts = staged(bigram_counts(flagged, known), "bigrams")
     single = counts.groupBy(F.col("pair").bitwiseAND(0xFFFF).cast("int").alias("word")).agg(F.sum("target").alias("t"), F.sum("n").alias("n")).toArrow()
     unigrams = np.zeros((2, len(known) + 1))
