@@ -67,6 +67,42 @@ def test_losses_against_a_plain_model(spark, monkeypatch, limit):
             assert r["difference"] == pytest.approx(r["target_loss"] - r["background_loss"], abs=1e-9)
 
 
+@pytest.mark.parametrize("batch, keys", [(1 << 21, 1 << 20), (4000, 3000)])
+def test_losses_by_every_word_and_bigram(spark, monkeypatch, batch, keys):
+    """More words than 16 bits can number; bigrams seen once count as well."""
+    monkeypatch.setattr("metroscope.llm.lm_scoring.BATCH_TOKENS", batch)
+    monkeypatch.setattr("metroscope.llm.lm_scoring.BUCKET_KEYS", keys)
+    rows = [(r[0], r[1]) for r in awkward.documents() if r[0] != 502] + [(2000 + k, " ".join(f"w{(k * 3001 + j * 7) % 70_001}" for j in range(2500))) for k in range(30)]
+    targets = {15, 17, 200, 303, 2003, 2004}
+    low = {c: c + 32 for c in range(65, 91)}
+    texts = [WORD.findall((t or "").translate(low)) for _, t in rows]
+    pairs, single, histories = ([collections.Counter(), collections.Counter()] for _ in range(3))
+    for (i, _), words in zip(rows, texts):
+        for h, w in zip(["\0start", *words], words):
+            for k in (0, 1) if i in targets else (1,):
+                pairs[k][h, w] += 1
+                single[k][w] += 1
+                histories[k][h] += 1
+
+    def loss(k, words):
+        size, total = len(single[1]) + 1, sum(single[k].values())
+        p = lambda w: (single[k][w] + 0.5) / (total + size / 2)
+        return sum(-math.log((pairs[k][h, w] + 16 * p(w)) / (histories[k][h] + 16)) for h, w in zip(["\0start", *words], words)) / len(words)
+
+    assert len(single[1]) > 1 << 16
+    ids = spark.createDataFrame([(i,) for i in [*targets, 15, 99999, None]], "doc_id long")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = cross_entropy_difference(docs, ids).collect()
+    key = lambda i, n, a: (i is None, i or 0, n, a or 0)
+    want = sorted([(i, len(w), loss(0, w) if w else None, loss(1, w) if w else None) for (i, _), w in zip(rows, texts)], key=lambda r: key(*r[:3]))
+    found = sorted(found, key=lambda r: key(r["doc_id"], r["n_words"], r["target_loss"]))
+    assert [(r["doc_id"], r["n_words"]) for r in found] == [r[:2] for r in want]
+    for r, (_, n, a, b) in zip(found, want):
+        assert (r["target_loss"], r["background_loss"]) == ((pytest.approx(a, rel=1e-9), pytest.approx(b, rel=1e-9)) if n else (None, None))
+        assert r["difference"] == (pytest.approx(a - b, abs=1e-9) if n else None)
+    assert cross_entropy_difference(awkward.empty(spark), ids.limit(0)).count() == 0
+
+
 def test_scores_of_nothing(spark):
     ids = spark.createDataFrame([], "doc_id long")
     assert cross_entropy_difference(awkward.empty(spark), ids).count() == 0
