@@ -63,6 +63,34 @@ def test_battery_tells_random_from_text(spark):
     assert all(r["p_random"] < 0.001 for r in tested if r["truth"] == 2)
 
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ALPHABETS = {"base32": UPPER + "234567", "base62": UPPER + UPPER.lower() + "0123456789", "base64": UPPER + UPPER.lower() + "0123456789+/", "hex": "0123456789ABCDEF"}
+
+
+def test_short_random_tokens_are_found_and_copies_do_not_matter(spark):
+    rng = random.Random(8)
+    truth = [(name, size, "".join(rng.choice(letters) for _ in range(size))) for name, letters in ALPHABETS.items() for size in (20, 24, 32) for _ in range(40)]
+    plain = ["".join(awkward.prose(k, 9).replace(".", "").split())[:20 + k % 20] for k in range(300)]
+    plain += ["-".join(awkward.prose(k, 6).lower().replace(".", "").split()) for k in range(200)]
+    plain += [f"data/{w}_{1900 + k}-{k % 12 + 1:02d}/part{k}" for k, w in enumerate(plain[:100])] + [w.upper() for w in plain[:100]]
+    plain += ["Donaudampfschifffahrtsgesellschaft", "internationalization-and-localization", "THIS_IS_A_LONG_CONSTANT_NAME_2", "getElementsByClassNameAndTagName", "20240131235959000123456789"]
+    texts = [t for _, _, t in truth] + plain
+
+    def verdicts(copies):
+        rows = [(k, f"see {t} end") for k, t in enumerate(texts)] + [(10_000 + k, f"see {plain[500]} end and AKIA{k:016d} too") for k in range(copies)]
+        return {r["doc_id"]: r["n_random"] for r in find_secrets(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id")).select(
+            F.col("row").alias("doc_id"), "n_random").collect()}
+
+    found = verdicts(0)
+    for name in ALPHABETS:
+        for size in (20, 24, 32):
+            hits = [found[k] for k, x in enumerate(truth) if x[:2] == (name, size)]
+            assert sum(hits) >= 0.85 * len(hits), (name, size, sum(hits))
+    assert sum(found[len(truth) + k] for k in range(len(plain))) <= 0.02 * len(truth)
+    more = verdicts(3000)
+    assert {k: n for k, n in more.items() if k < 10_000} == found and not any(n for k, n in more.items() if k >= 10_000)
+
+
 def test_masks(spark):
     docs = awkward.frame(spark, rows())
     out = {}
