@@ -257,9 +257,13 @@ def train(examples: list[tuple[str, list]], epochs: int = EPOCHS) -> Field:
 
 
 def training_sample(docs: DataFrame, sample_docs: int, limit: int) -> list[tuple[str, list]]:
-    """Examples from at most ``sample_docs`` documents that hold a digit or an @, those of the smallest text hash; at most ``limit`` of them."""
-    hits = docs.where("text rlike '[0-9@]'").select("text")
-    order = F.xxhash64("text")
+    """Examples from at most ``sample_docs`` different texts that hold a digit or an @, those of the smallest hash; at most ``limit`` of them."""
+    hits = docs.where("text rlike '[0-9@]'").select(F.xxhash64("text").alias("hash"), "text")
+    # Copies count once; one number reaches the driver, and the texts chosen stay spread by their hash.
+    last = hits.select("hash").distinct().orderBy("hash").limit(sample_docs).agg(F.max("hash")).first()[0]
+    if last is None:
+        return []
+    chosen = hits.where(F.col("hash") <= last).groupBy("hash").agg(F.min("text").alias("text")).select("text")
 
     def run(batches):
         for batch in batches:
@@ -267,7 +271,7 @@ def training_sample(docs: DataFrame, sample_docs: int, limit: int) -> list[tuple
             found = [f for f in found if "@" in f[1] or f[0] >= LEAST_DIGITS]
             yield pa.RecordBatch.from_arrays([pa.array([f[1] for f in found], pa.string()), pa.array([f[2] for f in found], pa.string())], names=["text", "spans"])
 
-    rows = hits.orderBy(order, "text").limit(sample_docs).mapInArrow(run, "text string, spans string").distinct().orderBy(F.xxhash64("text"), "text", "spans").limit(limit).collect()
+    rows = chosen.mapInArrow(run, "text string, spans string").distinct().orderBy(F.xxhash64("text"), "text", "spans").limit(limit).collect()
     return [(r["text"], [tuple(s) for s in json.loads(r["spans"])]) for r in rows]
 
 

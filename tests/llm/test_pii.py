@@ -8,8 +8,9 @@ import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from metroscope.llm.pii import KINDS, Field, Stretch, _digits, base_spans, find_spans, listed, luhn, personal_data, train, training_stretches
+from metroscope.llm.pii import KINDS, LEAST_DIGITS, Field, Stretch, _digits, base_spans, find_spans, listed, luhn, personal_data, train, training_sample, training_stretches
 
 from . import awkward
 
@@ -123,3 +124,13 @@ def test_documents(spark):
     none = personal_data(awkward.frame(spark, [(1, "no digits here", *[None] * 16), (2, None, *[None] * 16)])).collect()
     assert [(r["spans"], r["n_added"]) for r in none] == [("", 0)] * 2
     assert len(list(itertools.chain.from_iterable(by_id.values()))) == len(rows)
+
+
+def test_copies_do_not_change_the_sample(spark):
+    own = [(t,) for t in texts(40)]
+    once = training_sample(spark.createDataFrame(own, "text string"), 10, 600)
+    hashed = spark.createDataFrame(own, "text string").where("text rlike '[0-9@]'").orderBy(F.xxhash64("text"))
+    first = hashed.first()["text"]
+    copied = spark.createDataFrame(own + [(first,)] * 50, "text string")
+    assert len(once) > 1 and training_sample(copied, 10, 600) == once
+    assert set(t for t, _ in once) == {x for r in hashed.limit(10).collect() for x, s in training_stretches(r["text"]) if "@" in x or sum(c.isdigit() for c in x) >= LEAST_DIGITS}
