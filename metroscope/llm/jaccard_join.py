@@ -82,19 +82,59 @@ def similar_components(docs: DataFrame, percent: int = 80, size: int = 5, orders
     blank text has no shingles and is its own component. A repeated doc_id gives a row per input row; a null
     doc_id takes part like any other and is never a component_id of a row that has an id beside it.
     """
+    rows, active, levels = _prepared(docs, percent, size)
+    return _components(rows, _links(active, levels, percent, orders))
+
+
+def similar_links(docs: DataFrame, percent: int = 80, size: int = 5, orders: int = 3) -> DataFrame:
+    """(a, b, copies_a, copies_b): every link between different sets of shingles, once, between the least doc_ids of the sets.
+
+    ``copies`` counts the rows of a set, which link among themselves as well; a is null if no row of its set has an id, and so is b. All
+    candidate pairs are verified, none is taken as implied, so the rows are as many as the links.
+    """
+    rows, active, levels = _prepared(docs, percent, size)
+    nodes = _copies(rows)
+    side = lambda x: nodes.select(F.col("node").alias(f"node_{x}"), F.col("least").alias(x), F.col("copies").alias(f"copies_{x}"))
+    pairs = _links(active, levels, percent, orders, every=True).select(F.col("a").alias("node_a"), F.col("b").alias("node_b"))
+    return pairs.join(side("a"), "node_a").join(side("b"), "node_b").select("a", "b", "copies_a", "copies_b")
+
+
+def similar_link_counts(docs: DataFrame, percent: int = 80, size: int = 5, orders: int = 3) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) per row of ``docs``: as ``similar_components``, with the number of other rows that a row links with.
+
+    A row without shingles has no links.
+    """
+    rows, active, levels = _prepared(docs, percent, size)
+    pairs = staged(_links(active, levels, percent, orders, every=True), "pairs")
+    nodes = _copies(rows)
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    beside = both.join(nodes.select(F.col("node").alias("b"), "copies"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("beside"))
+    links = nodes.join(beside, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("beside", F.lit(0))).alias("links"))
+    named = _components(rows, pairs, "node")
+    return named.join(links, "node", "left").select("doc_id", "n_shingles", "component_id", F.coalesce("links", F.lit(0).cast("long")).alias("n_links"))
+
+
+def _prepared(docs: DataFrame, percent: int, size: int) -> tuple[DataFrame, DataFrame, bytes]:
+    """Rows (doc_id, node, n), the active nodes and the frequency levels."""
     hashed = staged(_hashed(docs, size), "sets")
-    rows = hashed.where("token is null").select("doc_id", "node", "n")
     levels = _levels(hashed.where("token is not null"))
     marks = _marks(_postings(docs, levels, percent, size))
-    active = staged(_active(docs, levels, marks, percent, size), "active")
-    edges = _links(active, levels, percent, orders)
+    return hashed.where("token is null").select("doc_id", "node", "n"), staged(_active(docs, levels, marks, percent, size), "active"), levels
+
+
+def _copies(rows: DataFrame) -> DataFrame:
+    return rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+
+
+def _components(rows: DataFrame, edges: DataFrame, *kept: str) -> DataFrame:
+    """(doc_id, n_shingles, component_id and ``kept`` columns) per row."""
     labels = connected_components(edges)
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(labels, "node", "left")
     of_label = nodes.where("label is not null").groupBy("label").agg(F.min("least").alias("lowest"))
     named = nodes.join(of_label, "label", "left").select("node", F.coalesce("lowest", "least").alias("component"))
     return rows.join(named, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"), *kept)
 
 
 def _hashed(docs: DataFrame, size: int) -> DataFrame:
@@ -208,14 +248,16 @@ def _active(docs: DataFrame, levels: bytes, marks: bytes, percent: int, size: in
     return docs.select("text").mapInArrow(run, "node long, shared array<long>, tokens binary")
 
 
-def _links(active: DataFrame, levels: bytes, percent: int, orders: int) -> DataFrame:
-    """(a, b) links that join all nodes which any chain of links joins."""
+def _links(active: DataFrame, levels: bytes, percent: int, orders: int, every: bool = False) -> DataFrame:
+    """(a, b) links that join all nodes which any chain of links joins; with ``every`` all links, each once and a < b."""
     postings = active.select(F.explode("shared").alias("token"), "node")
     members = staged(postings.join(_shared(postings), "token").select("hub", "node").distinct(), "groups")
     marked = active.select("node", "shared", (F.length("tokens") / 8).cast("int").alias("n"))
     members = staged(_with_partner(members, marked.groupBy("node").agg(F.first("shared").alias("shared"), F.first("n").alias("n")), percent), "partners")
     # One row per node: copies in several batches repeat it.
     sets = active.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
+    if every:
+        return _all_pairs(members, sets, levels, percent, orders).distinct()
     # A node of a dense group has many hubs. Its smallest comes first; then only groups of nodes with different smallest hubs are left.
     smallest = staged(members.groupBy("node").agg(F.min("hub").alias("smallest")), "smallest")
     first = _resolved(smallest.select(F.col("smallest").alias("hub"), "node"), sets, levels, percent, orders)
@@ -243,6 +285,17 @@ def _resolved(groups: DataFrame, sets: DataFrame, levels: bytes, percent: int, o
     return first.unionByName(_verified(asks.unionByName(asked), levels, percent, orders))
 
 
+def _all_pairs(groups: DataFrame, sets: DataFrame, levels: bytes, percent: int, orders: int) -> DataFrame:
+    """Every link a < b within groups (hub, node), each part of a group against each part; a pair of several groups comes from each of them."""
+    filled = staged(groups.join(sets, "node").select("hub", "node", "tokens"), "filled")
+    blocks = filled.groupBy("hub").agg(F.ceil(F.sum(F.length("tokens")) / BLOCK_BYTES).cast("int").alias("blocks"))
+    part, each = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    grouped = filled.join(blocks, "hub")
+    asks = grouped.select("hub", each.alias("block"), part.alias("turn"), F.lit(True).alias("asks"), "node", "tokens")
+    answers = grouped.select("hub", part.alias("block"), each.alias("turn"), F.lit(False).alias("asks"), "node", "tokens")
+    return _verified(asks.unionByName(answers), levels, percent, orders, every=True)
+
+
 def _with_partner(members: DataFrame, marked: DataFrame, percent: int) -> DataFrame:
     """The members (hub, node) that may have a partner in their group, judged by the marked tokens of their prefixes.
 
@@ -272,8 +325,8 @@ def _with_partner(members: DataFrame, marked: DataFrame, percent: int) -> DataFr
     return sized.where("not large").groupBy("hub").applyInPandas(run, "hub long, node long").unionByName(sized.where("large").select("hub", "node"))
 
 
-def _verified(rows: DataFrame, levels: bytes, percent: int, orders: int) -> DataFrame:
-    """Links (a asks, b answers) inside each block, without those that an earlier link of the block implies."""
+def _verified(rows: DataFrame, levels: bytes, percent: int, orders: int, every: bool = False) -> DataFrame:
+    """Links (a asks, b answers) inside each block, without those that an earlier link of the block implies; with ``every`` all with a < b."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         table = _table(levels)
@@ -281,6 +334,8 @@ def _verified(rows: DataFrame, levels: bytes, percent: int, orders: int) -> Data
         nodes, sets = frame["node"].to_numpy(), [np.frombuffer(t, dtype=np.uint64) for t in frame["tokens"]]
         found = linked_pairs([s for s, a in zip(sets, asks) if a], [s for s, a in zip(sets, asks) if not a], table, percent, orders)
         first, second = nodes[asks], nodes[~asks]
+        if every:
+            return pd.DataFrame([(int(first[q]), int(b)) for q, answers in found for b in second[answers] if first[q] < b], columns=["a", "b"], dtype="int64")
         parent: dict[int, int] = {}
 
         def root(x: int) -> int:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import collections
 import random
 import re
 
@@ -7,7 +8,7 @@ import numpy as np
 import pytest
 
 from metroscope.llm.components import connected_components
-from metroscope.llm.jaccard_join import LEVEL_BITS, least_shared, linked_pairs, ordered_prefix, similar_components
+from metroscope.llm.jaccard_join import LEVEL_BITS, least_shared, linked_pairs, ordered_prefix, similar_components, similar_link_counts, similar_links
 from metroscope.llm.words import shingle_set, word_hashes
 
 from . import awkward
@@ -54,6 +55,30 @@ def test_awkward_documents(spark):
     assert result(similar_components(awkward.frame(spark))) == brute(rows)
 
 
+@pytest.mark.parametrize("block", [8 << 20, 3000])
+def test_every_link_is_given(spark, monkeypatch, block):
+    """In a group of near copies each links with several others, not with the lead of the group alone."""
+    monkeypatch.setattr("metroscope.llm.jaccard_join.BLOCK_BYTES", block)
+    rows = [(r[0], r[1]) for r in awkward.documents()] + [(3000 + k, awkward.edited(awkward.prose(11, 150), k, 1 + k % 3)) for k in range(15)]
+    sets = [grams(t) for _, t in rows]
+    like = lambda a, b: bool(a) and bool(b) and 100 * len(a & b) >= 80 * len(a | b)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counted = similar_link_counts(docs).collect()
+    want = [(i, n, c, sum(like(sets[k], x) for j, x in enumerate(sets) if j != k)) for k, (i, n, c) in enumerate(
+        (i, len(s), None) for (i, _), s in zip(rows, sets))]
+    assert sorted(((r["doc_id"], r["n_shingles"], r["n_links"]) for r in counted), key=repr) == sorted(((i, n, m) for i, n, _, m in want), key=repr)
+    assert result(similar_link_counts(docs).drop("n_links")) == brute(rows)
+    ids, copies = {}, collections.Counter(s for s in sets if s)
+    for (i, _), s in zip(rows, sets):
+        if s and i is not None:
+            ids[s] = min(ids.get(s, i), i)
+    pairs = [(a, b) for a in copies for b in copies if a is not b and like(a, b)]
+    found = [(r["a"], r["b"], r["copies_a"], r["copies_b"]) for r in similar_links(docs).collect()]
+    assert len(found) == len(pairs) // 2 and len(found) > 50
+    assert sorted([*found, *[(b, a, m, n) for a, b, n, m in found]], key=repr) == sorted(((ids.get(a), ids.get(b), copies[a], copies[b]) for a, b in pairs), key=repr)
+    assert similar_links(awkward.empty(spark)).count() == 0 and similar_link_counts(awkward.empty(spark)).count() == 0
+
+
 def test_empty_table(spark):
     assert similar_components(awkward.empty(spark)).collect() == []
 
