@@ -153,3 +153,46 @@ def op5_semi_markov_pii(spark: SparkSession, folder: str) -> DataFrame:
     from .pii import personal_data
 
     return personal_data(documents(spark, folder))
+
+
+@query
+def op12_filter_interaction(spark: SparkSession, folder: str) -> DataFrame:
+    from .filter_interaction import filter_audit, text_failures
+
+    return filter_audit(text_failures(documents(spark, folder), labels(spark, folder)), "part", "ABCDE", {"good_lost": "good", "toxic_lost": "toxic"})
+
+
+# Every order is played over the sets of failed filters; the Shapley sums are sums over the orders.
+ORACLES["op12_filter_interaction"] = r"""
+WITH marks AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents
+), failed AS (
+  SELECT part, len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+    100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM texts LEFT JOIN marks USING (doc_id)
+), sets AS (
+  SELECT part, concat(if(a, 'A', ''), if(b, 'B', ''), if(c, 'C', ''), if(d, 'D', ''), if(e, 'E', '')) AS fails,
+    count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM failed GROUP BY ALL
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x), orders AS (
+  SELECT concat(p.x, q.x, r.x, s.x, t.x) AS filter_order FROM letters p, letters q, letters r, letters s, letters t
+  WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5
+), steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS letter, substr(filter_order, 1, step - 1) AS earlier
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)
+), played AS (
+  SELECT part, filter_order, step, letter, n, good, toxic, contains(fails, letter) AS hit, fails = letter AS alone,
+    len(list_intersect(string_split(fails, ''), string_split(earlier, ''))) > 0 AND earlier <> '' AND fails <> '' AS gone
+  FROM sets, steps
+), counted AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, letter,
+    CAST(coalesce(sum(n) FILTER (NOT gone AND NOT hit), 0) AS BIGINT) AS kept, CAST(coalesce(sum(n) FILTER (NOT gone AND hit), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (gone AND hit), 0) AS BIGINT) AS redundant, CAST(coalesce(sum(n) FILTER (alone), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (NOT gone AND hit), 0) AS BIGINT) AS good_lost, CAST(coalesce(sum(toxic) FILTER (NOT gone AND hit), 0) AS BIGINT) AS toxic_lost
+  FROM played GROUP BY ALL
+)
+SELECT * EXCLUDE (letter), CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM counted
+"""

@@ -35,7 +35,7 @@ def _tables(size: int) -> list[np.ndarray]:
     return _powers
 
 
-def _segments(raw: bytes):
+def segments(raw: bytes):
     """Cut between words, so that no table has to be as long as a very long text."""
     at = 0
     while len(raw) - at > _SEGMENT:
@@ -52,7 +52,7 @@ def word_hashes(text: str | None, lower: bool = True) -> np.ndarray:
     if not text:
         return NONE
     raw = text.encode("utf-8", "replace")
-    found = [_hash_segment(part) for part in _segments(raw.lower() if lower else raw)]
+    found = [_hash_segment(part) for part in segments(raw.lower() if lower else raw)]
     return found[0] if len(found) == 1 else np.concatenate(found)
 
 
