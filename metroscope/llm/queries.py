@@ -196,3 +196,26 @@ texts AS (
 )
 SELECT * EXCLUDE (letter), CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM counted
 """
+
+
+@query
+def op13_ball_tree_search(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .ball_tree import top_inner_products
+
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return top_inner_products(vectors, F.coalesce(F.col("vec_id") % 100 == 0, F.lit(False)), k=10)
+
+
+# Every query against every other row.
+ORACLES["op13_ball_tree_search"] = r"""
+WITH whole AS (
+  SELECT row_number() OVER () AS line, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.line, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.line <> c.line AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
