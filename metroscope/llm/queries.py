@@ -219,3 +219,42 @@ WITH whole AS (
 ), ranked AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY score DESC, vec_id) AS rank FROM scored)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+
+@query
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    from .source_divergence import divergence_audit
+
+    return divergence_audit(documents(spark, folder), least_docs=10, top=10)
+
+
+# Terms straight from the texts, shares of every group for every kept term.
+ORACLES["op11_source_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS line, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), found AS (SELECT line, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM found GROUP BY ALL HAVING count(DISTINCT line) >= 10),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM found SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+sizes AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM kept GROUP BY lang),
+totals AS (SELECT lang, source, sum(n)::HUGEINT AS n FROM counts GROUP BY ALL),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(t.n, 0) + 2 * s.v) AS p,
+    1 + (1000000000::HUGEINT * (k.n + 2)) // (s.n + 2 * s.v) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN sizes s USING (lang) LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), results AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(value, 0) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source LEFT JOIN pairs p ON p.lang = g.lang AND p.source = g.source AND p.item = h.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+    CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM results
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
