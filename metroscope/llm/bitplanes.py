@@ -13,7 +13,6 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window
@@ -111,12 +110,12 @@ def read_documents(blocks: DataFrame) -> DataFrame:
 
     Documents inside one block come straight from it; the parts of the others meet by document.
     """
-    return _pieces(blocks, lambda ids: ids, "binary", lambda parts: b"".join(parts))
+    return _pieces(blocks, lambda ids: ids, "binary", lambda ids: ids)
 
 
 def read_digests(blocks: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) per document, from the decoded ids."""
-    return _pieces(blocks, zlib.crc32, "long", lambda parts: zlib.crc32(b"".join(parts))).withColumnRenamed("ids", "ids_crc32")
+    return _pieces(blocks, zlib.crc32, "long", F.crc32).withColumnRenamed("ids", "ids_crc32")
 
 
 def _pieces(blocks: DataFrame, value, kind: str, joined) -> DataFrame:
@@ -137,12 +136,6 @@ def _pieces(blocks: DataFrame, value, kind: str, joined) -> DataFrame:
             columns = list(zip(*out)) or [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["shard", "rank", "part", "doc_id", "at", "n_tokens", "ids", "bytes"])
 
-    def join(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("part")
-        head = frame[frame["n_tokens"].notna()].iloc[0]
-        return pd.DataFrame({"doc_id": [head["doc_id"]], "at": [head["at"]], "n_tokens": [head["n_tokens"]], "ids": [joined(frame["bytes"])], "shard": [head["shard"]], "part": [head["part"]]}).astype(
-            {"doc_id": "Int64", "at": "int64", "n_tokens": "int64"})
-
     # Positions from the index alone: a narrow window over a shard's blocks, and one over the shards' totals.
     starts = blocks.select(F.col("shard").alias("s"), F.col("block").alias("b"), "n_ids").withColumn(
         "block_start", F.coalesce(F.sum("n_ids").over(Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n_ids")
@@ -151,6 +144,11 @@ def _pieces(blocks: DataFrame, value, kind: str, joined) -> DataFrame:
     # Blocks are decoded where they lie; positions join the narrow pieces.
     found = staged(blocks.mapInArrow(run, schema), "id-pieces")
     complete = found.where("bytes is null").select("shard", "part", "doc_id", "at", "n_tokens", "ids")
-    cut = found.where("bytes is not null").groupBy("shard", "rank").applyInPandas(join, f"doc_id long, at long, n_tokens long, ids {kind}, shard int, part int")
+    # The first part of a document cut by block ends has its number and place.
+    parts = found.where("bytes is not null").groupBy("shard", "rank").agg(
+        F.max("doc_id").alias("doc_id"), F.max("at").alias("at"), F.max("n_tokens").alias("n_tokens"), F.min("part").alias("part"),
+        F.sort_array(F.collect_list(F.struct("part", "bytes"))).alias("pieces"))
+    whole = F.aggregate("pieces", F.lit("").cast("binary"), lambda ids, piece: F.concat(ids, piece["bytes"]))
+    cut = parts.select("shard", "part", "doc_id", "at", "n_tokens", joined(whole).alias("ids"))
     placed = complete.unionByName(cut).join(starts, (F.col("shard") == F.col("s")) & (F.col("part") == F.col("b"))).join(bases, F.col("shard") == F.col("t"))
     return placed.select("doc_id", (F.col("base") + F.col("block_start") + F.col("at")).alias("start"), "n_tokens", "ids")

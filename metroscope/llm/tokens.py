@@ -16,6 +16,8 @@ import numpy as np
 
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _PIECES = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+#: White space in Python, not in the library.
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 CACHED_WORDS = 1_000_000
 
 
@@ -33,6 +35,17 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in plain else chr(next(rest)) for b in range(256)}
 
 
+class _Words(dict):
+    """Ids of words; a word that is not there is learned."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: str) -> bytes:
+        return self.learn(word)
+
+
 class Encoder:
     """``ids(text)`` as little-endian unsigned 32-bit bytes, equal to the library's ``encode(text, add_special_tokens=False)``."""
 
@@ -44,7 +57,7 @@ class Encoder:
         self.letters = _byte_letters()
         self.merged = self.library.model.tokenize
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.first: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = _Words(lambda word: self._learn(word, self.first, ""))
         self.rest: dict[str, bytes] = self.first if self.lower else {}
 
     def whole(self, text: str) -> bytes:
@@ -58,6 +71,9 @@ class Encoder:
         if len(self.first) + len(self.rest) > CACHED_WORDS:
             self.first.clear()
             self.rest.clear()
+        if self.lower and not any(c in text for c in _SEPARATORS):
+            # White space only separates here, so words need no lines.
+            return b"".join(map(self.first.__getitem__, text.split()))
         out: list[bytes] = []
         for k, line in enumerate(text.split("\n")):
             words = line.split()
@@ -93,6 +109,11 @@ class Encoder:
         return found
 
     def _one(self, word: str, lead: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            # Each letter is its own spelling.
+            if self.lower and not word.islower() and (word := word.lower()) in self.first:
+                return self.first[word]
+            return array("I", [t.id for t in self.merged(self.letters[0x20] + word if lead else word)]).tobytes()
         plain = word.isalpha() and (word.isascii() or unicodedata.is_normalized("NFC", word))
         if self.lower:
             # A capital sigma's small form depends on its place in Python, not in the library.
