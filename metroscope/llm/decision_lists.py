@@ -122,13 +122,14 @@ def any_rule(rules: list[Rule]) -> Column:
 
 
 def learn_rules(rows: DataFrame, max_rows: int = 50_000, cuts: int = 48, max_rules: int = 12, max_literals: int = 4,
-                precision: float = 0.95, support: int = 5) -> list[Rule]:
+                precision: float = 0.95, support: int = 5, patience: int = 4) -> list[Rule]:
     """Rules that find ``bad`` rows (0/1) of ``rows`` (key, bad and SHARES).
 
     Learns from at most ``max_rows`` labelled rows, those of the smallest key hash; nothing else is
     bounded. Candidate thresholds are ``cuts`` quantiles of each share among bad rows and among good
     ones. A rule is kept if at least ``precision`` of the pruning rows it covers are bad and at
-    least ``support`` growing rows are; the first share of a rule that fails there is not used again. No labelled rows or no bad row give an empty list. Ties go to the first share and the lowest threshold.
+    least ``support`` growing rows are; one that fails there is set aside with the growing rows that it covers, and learning
+    goes on with all shares, until ``patience`` rules in a row have failed. No labelled rows or no bad row give an empty list. Ties go to the first share and the lowest threshold.
     """
     marked = rows.where("bad is not null").withColumn("turn", F.xxhash64(F.lit("turn"), "key"))
     sample = staged(marked.orderBy("turn").limit(max_rows).select(
@@ -142,16 +143,19 @@ def learn_rules(rows: DataFrame, max_rows: int = 50_000, cuts: int = 48, max_rul
     binned = staged(sample.withColumn("bins", F.array(*[
         sum((F.when(F.col(s) >= c, 1).otherwise(0) for c in cut_points[s]), F.lit(0)) for s in SHARES])), "binned")
     rules: list[Rule] = []
-    barred: set[str] = set()
-    while len(rules) < max_rules:
+    failed: list[Rule] = []
+    in_a_row = 0
+    while len(rules) < max_rules and in_a_row < patience:
         open_rows = binned.where(~any_rule(rules))
-        grown = _grown(open_rows.where("not prune"), {s: c for s, c in cut_points.items() if s not in barred}, max_literals, support)
+        grown = _grown(open_rows.where("not prune").where(~any_rule(failed)), cut_points, max_literals, support)
         if not grown:
             break
         if rule := _pruned(open_rows.where("prune"), grown, precision):
             rules.append(rule)
+            in_a_row = 0
         else:
-            barred.add(grown[0].share)
+            failed.append(grown)
+            in_a_row += 1
     return rules
 
 
@@ -167,8 +171,6 @@ def _grown(rows: DataFrame, cut_points: dict, max_literals: int, support: int) -
             break
         best, gained = None, 1e-9
         for at, share in enumerate(SHARES):
-            if share not in cut_points:
-                continue
             below_n = below_bad = 0
             counts = {r["bin"]: (r["n"], r["bad"]) for r in table if r["share"] == at}
             for k, cut in enumerate(cut_points[share]):
@@ -195,6 +197,16 @@ def _pruned(rows: DataFrame, rule: Rule, precision: float) -> Rule:
     return heads[k] if sums[f"b{k}"] >= precision * sums[f"n{k}"] else ()
 
 
+def verdicts_of(docs: DataFrame, carry: Column, rules: list[Rule]) -> DataFrame:
+    """(row, kept) per row of ``docs`` by rules learned before: one scan, nothing is written.
+
+    The statistics pass through a generator, so that the optimizer does not copy them into every place where a rule uses one.
+    """
+    counts = text_statistics(docs, carry)
+    told = counts.select("row", F.inline(F.array(F.struct(*[c for c in counts.columns if c != "row"]))))
+    return told.select("row", (~base_failed() & ~any_rule(rules)).alias("kept"))
+
+
 def quality_verdicts(docs: DataFrame, labels: DataFrame, carry: Column, **limits) -> tuple[DataFrame, list[Rule]]:
     """(row, statistics, base_failed, kept) per row of ``docs`` (doc_id, text), and the rules.
 
