@@ -122,14 +122,14 @@ def any_rule(rules: list[Rule]) -> Column:
 
 
 def learn_rules(rows: DataFrame, max_rows: int = 50_000, cuts: int = 48, max_rules: int = 12, max_literals: int = 4,
-                precision: float = 0.95, support: int = 5, patience: int = 4) -> list[Rule]:
+                precision: float = 0.95, support: int = 5, tries: int = 2) -> list[Rule]:
     """Rules that find ``bad`` rows (0/1) of ``rows`` (key, bad and SHARES).
 
     Learns from at most ``max_rows`` labelled rows, those of the smallest key hash; nothing else is
     bounded. Candidate thresholds are ``cuts`` quantiles of each share among bad rows and among good
     ones. A rule is kept if at least ``precision`` of the pruning rows it covers are bad and at
-    least ``support`` growing rows are; one that fails there is set aside with the growing rows that it covers, and learning
-    goes on with all shares, until ``patience`` rules in a row have failed. No labelled rows or no bad row give an empty list. Ties go to the first share and the lowest threshold.
+    least ``support`` growing rows are. After one that fails there no rule begins with its first literal or a looser one of that share and
+    direction, nor with that share and direction at all once ``tries`` rules have failed so. No labelled rows or no bad row give an empty list. Ties go to the first share and the lowest threshold.
     """
     marked = rows.where("bad is not null").withColumn("turn", F.xxhash64(F.lit("turn"), "key"))
     sample = staged(marked.orderBy("turn").limit(max_rows).select(
@@ -143,23 +143,26 @@ def learn_rules(rows: DataFrame, max_rows: int = 50_000, cuts: int = 48, max_rul
     binned = staged(sample.withColumn("bins", F.array(*[
         sum((F.when(F.col(s) >= c, 1).otherwise(0) for c in cut_points[s]), F.lit(0)) for s in SHARES])), "binned")
     rules: list[Rule] = []
-    failed: list[Rule] = []
-    in_a_row = 0
-    while len(rules) < max_rules and in_a_row < patience:
+    failed: list[Literal] = []
+    while len(rules) < max_rules:
         open_rows = binned.where(~any_rule(rules))
-        grown = _grown(open_rows.where("not prune").where(~any_rule(failed)), cut_points, max_literals, support)
+        grown = _grown(open_rows.where("not prune"), cut_points, max_literals, support, lambda x: not _tried(x, failed, tries))
         if not grown:
             break
         if rule := _pruned(open_rows.where("prune"), grown, precision):
             rules.append(rule)
-            in_a_row = 0
         else:
-            failed.append(grown)
-            in_a_row += 1
+            failed.append(grown[0])
     return rules
 
 
-def _grown(rows: DataFrame, cut_points: dict, max_literals: int, support: int) -> Rule:
+def _tried(literal: Literal, failed: list[Literal], tries: int) -> bool:
+    """Whether a rule that began with this literal or a tighter one has failed, or too many of its share and direction."""
+    alike = [f.cut for f in failed if (f.share, f.at_least) == (literal.share, literal.at_least)]
+    return len(alike) >= tries or any(literal.cut <= cut if literal.at_least else literal.cut >= cut for cut in alike)
+
+
+def _grown(rows: DataFrame, cut_points: dict, max_literals: int, support: int, may_begin) -> Rule:
     rule: list[Literal] = []
     while len(rule) < max_literals:
         covered = rows.where(_all(tuple(rule)))
@@ -177,7 +180,7 @@ def _grown(rows: DataFrame, cut_points: dict, max_literals: int, support: int) -
                 n, b = counts.get(k, (0, 0))
                 below_n, below_bad = below_n + n, below_bad + b
                 for at_least, (n, b) in ((True, (total - below_n, bad - below_bad)), (False, (below_n, below_bad))):
-                    if b >= support and (gain := b * (math.log2(b / n) - math.log2(bad / total))) > gained + 1e-9:
+                    if b >= support and (gain := b * (math.log2(b / n) - math.log2(bad / total))) > gained + 1e-9 and (rule or may_begin(Literal(share, at_least, cut))):
                         best, gained = Literal(share, at_least, cut), gain
         if best is None:
             break
