@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import gates
 from ..session import scratch_folder
 from ..sources import archives, lake
+from ..sources.feeds import incremental
+from ..sources.feeds.jobs import publish_feed
 from .registry import Tables, entry
 
 
@@ -194,3 +197,33 @@ def _(t):
 SELECT strftime(o_orderdate, '%Y') AS part, count(*) AS handed, count(*) AS stored FROM orders GROUP BY 1""")
 def _(t):
     return lake.idempotency_check(orders_by_year(t), f"{scratch_folder(t.spark, 'twice')}/orders")
+
+
+@entry("compared_files", f"""
+SELECT strftime(o_orderdate, '%Y') AS annee, CAST(sum(strlen({PAYLOAD}) + 1) AS bigint) AS bytes
+FROM orders WHERE year(o_orderdate) >= 1998 GROUP BY 1""")
+def _(t):
+    # A raw file per year; the first run meets the years before 1998, the second all of them.
+    folder, log = scratch_folder(t.spark, "raw"), f"{scratch_folder(t.spark, 'compared')}/manifest"
+    text = F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus", "o_orderpriority")
+    lines = t.orders.select(text.alias("value"), F.date_format("o_orderdate", "yyyy").alias("annee"))
+    listed, known = lambda: incremental.listed_files(t.spark, folder), lambda: lake.scan_manifest(t.spark, log)
+    for years in (F.col("annee") < "1998", F.col("annee") >= "1998"):
+        lines.where(years).repartition("annee").write.mode("append").partitionBy("annee").text(folder)
+        new = archives.stage(incremental.compared_files(t.spark, listed(), known()).where("is_new"), scratch_folder(t.spark, "new"))
+        lake.append_manifest(new.withColumn("fetched_at", F.date_format(F.current_timestamp(), incremental.STAMP)), log)
+    return new.select(F.regexp_extract("path", "annee=([0-9]{4})", 1).alias("annee"), "bytes")
+
+
+@entry("publish_isolated", """
+WITH y AS (SELECT strftime(o_orderdate, '%Y') AS part, count(*) AS n, count(*) FILTER (o_orderkey % 3 = 0) AS bad,
+                  year(o_orderdate) IN (1997, 1999) AND count(*) FILTER (o_orderkey % 3 = 0) > 0.01 * count(*) AS refused FROM orders GROUP BY 1, year(o_orderdate))
+SELECT 'orders' AS source, part AS partition, CASE WHEN refused THEN 0 ELSE n END AS rows,
+       CASE WHEN refused THEN 'refused: {"part":"' || part || '","total_rows":' || n || ',"unreadable":' || bad || '}' ELSE '' END AS notes FROM y""")
+def _(t):
+    # Two years have days that cannot be read: their partitions are refused, the others published.
+    broken = F.year("o_orderdate").isin(1997, 1999) & (F.col("o_orderkey") % 3 == 0)
+    rows = t.orders.select("o_orderkey", F.when(~broken, F.to_date("o_orderdate")).alias("jour"), F.date_format("o_orderdate", "yyyy").alias("annee"))
+    root = scratch_folder(t.spark, "isolated")
+    report = publish_feed(rows, "orders", f"{root}/lake", f"{root}/staging", F.col("annee"), checks=[lambda r: gates.gate_unparsed_dates(r, ["part"])], isolate=True)
+    return report.select("source", "partition", "rows", F.array_join("notes", "; ").alias("notes"))

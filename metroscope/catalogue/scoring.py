@@ -28,18 +28,15 @@ def bridge(t: Tables):
 
 
 def venue_series(t: Tables):
-    """(venue_id, jour, validations) straight from the counts: the venue is computed, not joined."""
-    c = counts(t).where(F.col("nb_vald").isNotNull())
-    return c.groupBy((F.col("id_refa_lda") % VENUES).alias("venue_id"), "jour").agg(
-        F.sum("nb_vald").alias("validations")
-    )
+    """(venue_id, jour, validations): counts of the stations that serve each venue."""
+    return ed.venue_days(counts(t), bridge(t))
 
 
 SERIES = """
 series AS (
-  SELECT l_suppkey % 12 AS venue_id, CAST(l_shipdate AS date) AS jour,
+  SELECT s_suppkey % 12 AS venue_id, CAST(l_shipdate AS date) AS jour,
          CAST(SUM(CAST(l_quantity AS bigint)) AS bigint) AS validations
-  FROM lineitem WHERE l_quantity >= 5 GROUP BY 1, 2),
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity >= 5 GROUP BY 1, 2),
 parts AS (
   SELECT *, isodow(jour) AS dow, month(jour) AS month, year(jour) AS year FROM series),
 baseline AS (

@@ -14,6 +14,7 @@ import gzip
 import io
 import re
 import zipfile
+import zlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -212,40 +213,63 @@ def _member_chunks(
             yield _chunk(path, member, header, number, lines)
 
 
-def _expander(encoding: str | None, wanted: str | None, separator: str | None = None, header_only: bool = False):
+#: What a damaged or unsupported archive or member raises: broken structure, checksums, compression methods, passwords.
+UNREADABLE = (zipfile.BadZipFile, zlib.error, EOFError, OSError, NotImplementedError, RuntimeError, UnicodeDecodeError)
+UNREADABLE_CHUNK = -1
+
+
+def _expander(encoding: str | None, wanted: str | None, separator: str | None = None, header_only: bool = False, tolerant: bool = False):
     pattern = re.compile(wanted) if wanted else None
 
+    def guarded(path: str, name: str, chunks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What can be read, and a row that tells why the rest cannot."""
+        try:
+            yield from chunks
+        except UNREADABLE as error:
+            if not tolerant:
+                raise
+            yield _chunk(path, name, None, UNREADABLE_CHUNK, [f"{type(error).__name__}: {error}"])
+
+    def members(path: str, buffer: pa.Buffer) -> Iterator[pa.RecordBatch]:
+        with zipfile.ZipFile(pa.BufferReader(buffer)) as archive:
+            for info in archive.infolist():
+                if info.is_dir():
+                    continue
+                name = info.filename.rsplit("/", 1)[-1]
+                if pattern is None and not name.lower().endswith(".zip") or pattern and pattern.search(name):
+                    yield from guarded(path, name, _member_chunks(path, name, lambda: archive.open(info), encoding, separator, header_only))
+                else:
+                    yield _chunk(path, name, None, 0, [])
+
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path_cell, content in zip(batch.column("path"), batch.column("content")):
                 path, buffer = path_cell.as_py(), content.as_buffer()
-                if not path.lower().endswith(".zip"):
-                    name = path.rsplit("/", 1)[-1]
-                    plain = lambda: pa.BufferReader(buffer)
-                    packed = lambda: gzip.GzipFile(fileobj=pa.BufferReader(buffer))
-                    yield from _member_chunks(path, name, packed if name.lower().endswith(".gz") else plain, encoding, separator, header_only)
+                name = path.rsplit("/", 1)[-1]
+                if path.lower().endswith(".zip"):
+                    yield from guarded(path, name, members(path, buffer))
                     continue
-                with zipfile.ZipFile(pa.BufferReader(buffer)) as archive:
-                    for info in archive.infolist():
-                        if info.is_dir():
-                            continue
-                        name = info.filename.rsplit("/", 1)[-1]
-                        if pattern is None and not name.lower().endswith(".zip") or pattern and pattern.search(name):
-                            yield from _member_chunks(path, name, lambda: archive.open(info), encoding, separator, header_only)
-                        else:
-                            yield _chunk(path, name, None, 0, [])
+                plain = lambda: pa.BufferReader(buffer)
+                packed = lambda: gzip.GzipFile(fileobj=pa.BufferReader(buffer))
+                yield from guarded(path, name, _member_chunks(path, name, packed if name.lower().endswith(".gz") else plain, encoding, separator, header_only))
 
     return expand
 
 
-def expand_archive(files: DataFrame, wanted: str | None = None, encoding: str | None = None) -> DataFrame:
+def expand_archive(files: DataFrame, wanted: str | None = None, encoding: str | None = None, tolerant: bool = False) -> DataFrame:
     """ZIP members (or plain files) as chunk rows: path, member, header, chunk, lines.
 
     Nested archives, and members ``wanted`` does not match, appear with a null header so that
     reports can name them; they are not opened. Directories are left out. ``encoding`` overrides
-    the per-member choice and replaces undecodable bytes.
+    the per-member choice and replaces undecodable bytes. A member that cannot be read ends the job; with ``tolerant`` it
+    becomes a row of ``unreadable_members``, and so does an archive whose directory cannot be read.
     """
-    return files.select("path", "content").mapInArrow(_expander(encoding, wanted), CHUNK_SCHEMA)
+    return files.select("path", "content").mapInArrow(_expander(encoding, wanted, tolerant=tolerant), CHUNK_SCHEMA)
+
+
+def unreadable_members(chunks: DataFrame) -> DataFrame:
+    """(path, member, reason) of what a tolerant expansion could not read, or not to its end."""
+    return chunks.where(F.col("chunk") == UNREADABLE_CHUNK).select("path", "member", F.get("lines", F.lit(0)).alias("reason"))
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:

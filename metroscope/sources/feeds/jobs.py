@@ -34,6 +34,39 @@ def record_files(files: DataFrame, manifest: str, source: str, note: str = "") -
     append_manifest(entries, manifest)
 
 
+def refused_partitions(staged: DataFrame, checks: Iterable[Gate], source: str) -> DataFrame:
+    """(part, reason): partitions that hold a group of rows that a gate refuses.
+
+    A gate that reports on groups (members, files, partitions) refuses the partitions of its failing groups. One that
+    reports on all rows at once concerns the run, and raises.
+    """
+    found = staged.sparkSession.createDataFrame([], f"{PART} string, reason string")
+    for check in checks:
+        report = check(staged)
+        keys = [c for c in report.columns if c in staged.columns]
+        if not keys:
+            gates.enforce(report, source)
+            continue
+        failing = report.where(~F.coalesce("passes", F.lit(False))).select(
+            *[F.col(k).alias(f"_{k}") for k in keys], F.to_json(F.struct(*[c for c in report.columns if c != "passes"])).alias("reason"))
+        groups = staged.select(PART, *[k for k in keys if k != PART]).distinct()
+        same = F.lit(True)
+        for k in keys:
+            same = same & failing[f"_{k}"].eqNullSafe(groups[k])
+        found = found.unionByName(groups.join(failing, same).select(F.col(PART).cast("string").alias(PART), "reason"))
+    return found
+
+
+def with_remarks(report: DataFrame, remarks: DataFrame, source: str) -> DataFrame:
+    """A run report with further notes from ``remarks`` (part, reason), also on partitions of which nothing was written."""
+    listed = remarks.groupBy(F.col(PART).cast("string").alias("_part")).agg(F.sort_array(F.collect_set("reason")).alias("_more"))
+    joined = report.join(listed, report["partition"].eqNullSafe(listed["_part"]), "full")
+    none = F.array().cast("array<string>")
+    return joined.select(
+        F.lit(source).alias("source"), F.coalesce("partition", "_part").alias("partition"), F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"), "path",
+        F.concat(F.coalesce("notes", none), F.coalesce("_more", none)).alias("notes"))
+
+
 def publish_feed(
     rows: DataFrame,
     source: str,
@@ -45,6 +78,8 @@ def publish_feed(
     drop: Iterable[str] = (),
     immutable: bool = False,
     within: Iterable[str] = (),
+    isolate: bool = False,
+    unreadable: DataFrame | None = None,
 ) -> DataFrame:
     """Gate and publish typed rows, and report what was written.
 
@@ -52,19 +87,31 @@ def publish_feed(
     failing gate raises before anything is published. ``drop`` names columns only the gates
     need. ``immutable`` keeps partitions that exist already, as snapshots demand; ``within`` tells polls of one stamp apart. An empty frame
     publishes nothing and reports nothing.
+
+    With ``isolate`` a failing gate refuses the partitions of the failing groups only: what the lake has of them stays as it
+    is, the others are published, and the report names both. ``unreadable`` (part, reason) refuses partitions whose raw files
+    could not be read to their end.
     """
     label = part if isinstance(part, Column) else F.lit(part)
     staged = stage(rows.withColumn(PART, label), staging)
-    for check in checks:
-        gates.enforce(check(staged), source)
-    published = staged.drop(*drop)
     table = f"{lake}/{source}"
+    refused = None
+    if isolate:
+        refused = refused_partitions(staged, checks, source)
+        refused = stage(refused if unreadable is None else refused.unionByName(unreadable.select(F.col(PART).cast("string").alias(PART), "reason")), f"{staging}-refused")
+        held = refused.select(F.col(PART).alias("_refused")).distinct()
+        staged = staged.join(held, F.col(PART).cast("string").eqNullSafe(F.col("_refused")), "left_anti")
+    else:
+        for check in checks:
+            gates.enforce(check(staged), source)
+    published = staged.drop(*drop)
     if gates.gate_empty(published):
         if immutable:
             publish_snapshot(published, table, PART, tuple(within))
         else:
             publish_partition(published, table)
-    return run_report(published, source, table, notes)
+    report = run_report(published, source, table, notes)
+    return report if refused is None else with_remarks(report, refused.select(PART, F.concat(F.lit("refused: "), "reason").alias("reason")), source)
 
 
 def report_notes(source: str) -> dict[str, Column]:

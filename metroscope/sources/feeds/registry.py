@@ -13,7 +13,8 @@ from ...functions.text import plain_name
 from ...operators import gates
 from .. import archives
 from . import calendars, realtime, stops, tables
-from .jobs import publish_feed, report_notes
+from ..lake import PART, REPORT_SCHEMA
+from .jobs import publish_feed, report_notes, with_remarks
 
 # What file names of the raw archive say.
 STAMP_PATTERN = r"([0-9]{8}T[0-9]{6}Z)\.json$"
@@ -27,7 +28,12 @@ STOP_SEPARATOR, STOP_SEPARATOR_IN_FILES = ":", "_"
 
 @dataclass(frozen=True)
 class Feed:
-    """``rows(spark, raw)`` reads a raw folder; ``part`` labels its partitions."""
+    """``rows(spark, raw)`` reads a raw folder (or a list of its files); ``part`` labels its partitions.
+
+    Feeds of archives have two steps instead: ``expand(spark, raw, tolerant)`` gives chunk rows, which a run writes once, and
+    ``parse(chunks)`` typed rows; ``chunk_part`` is the partition that a chunk belongs to. ``label`` finds in a
+    file's name what partition it fills; without it every file may fill any, so all are read when one is new.
+    """
 
     table: str
     rows: Callable[[SparkSession, str], DataFrame]
@@ -36,6 +42,10 @@ class Feed:
     drop: tuple[str, ...] = ()
     immutable: bool = False
     within: tuple[str, ...] = ()
+    expand: Callable[[SparkSession, str, bool], DataFrame] | None = None
+    parse: Callable[[DataFrame], DataFrame] | None = None
+    chunk_part: Column | None = None
+    label: str | None = None
 
 
 def _from_file(pattern: str) -> Column:
@@ -71,19 +81,29 @@ def _bulk(key: str, spark, raw):
     return tables.normalise_bulk(read, spec)
 
 
-def _accidents(table: str, spark, raw):
-    chunks = tables.accident_chunks(archives.raw_files(spark, raw, "*.csv"), table)
-    return tables.normalise_accidents(chunks, table)
+def _accident_chunks(table: str, spark, raw, tolerant):
+    return tables.accident_chunks(archives.raw_files(spark, raw, "*.csv"), table, tolerant)
+
+
+def _flow_chunks(spark, raw, tolerant):
+    return archives.expand_archive(archives.raw_files(spark, raw, "*.zip"), wanted=tables.FLOW_MEMBERS, tolerant=tolerant)
 
 
-def _flows(spark, raw):
-    files = archives.raw_files(spark, raw, "*.zip")
-    strings = tables.commuting_strings(files, carry=("path",))
+def _flows(chunks):
+    strings = tables.commuting_rows(chunks, carry=("path",))
     return tables.normalise_commuting_matrix(strings, F.regexp_extract("path", YEAR_PATTERN, 1))
 
 
-def _roads(spark, raw):
-    return tables.normalise_road_archive(tables.road_archive_strings(archives.raw_files(spark, raw, "*.zip")))
+def _road_chunks(spark, raw, tolerant):
+    return archives.expand_archive(archives.raw_files(spark, raw, "*.zip"), wanted=tables.ROAD_MEMBERS, tolerant=tolerant)
+
+
+def _roads(chunks):
+    return tables.normalise_road_archive(tables.road_archive_rows(chunks))
+
+
+def _rows_of(expand, parse):
+    return lambda spark, raw: parse(expand(spark, raw, False))
 
 
 def _roads_live(spark, raw):
@@ -129,51 +149,89 @@ def feeds() -> dict[str, Feed]:
             ),
             "all",
         ),
-        "events": Feed("paris_events", _city_events, F.col("snapshot_date").cast("string")),
-        "weather": Feed("meteo", _weather, F.col("departement")),
-        "commuting": Feed("insee_od", _flows, F.col("millesime"), drop=("path",)),
+        "events": Feed("paris_events", _city_events, F.col("snapshot_date").cast("string"), label=DAY_PATTERN),
+        "weather": Feed("meteo", _weather, F.col("departement"), label=WEATHER_PATTERN),
+        "commuting": Feed("insee_od", _rows_of(_flow_chunks, _flows), F.col("millesime"), drop=("path",), expand=_flow_chunks, parse=_flows,
+                          chunk_part=F.regexp_extract("path", YEAR_PATTERN, 1), label=YEAR_PATTERN),
         "road": Feed(
             "paris_road_counts",
-            _roads,
+            _rows_of(_road_chunks, _roads),
             F.regexp_extract("path", YEAR_PATTERN, 1),
             checks=(lambda rows: gates.gate_unparsed_timestamps(rows, ["part"]),),
             drop=("path",),
+            expand=_road_chunks,
+            parse=_roads,
+            chunk_part=F.regexp_extract("path", YEAR_PATTERN, 1),
+            label=YEAR_PATTERN,
         ),
-        "road-live": Feed("paris_road_counts_live", _roads_live, _from_file(MONTH_PATTERN), drop=("file",)),
+        "road-live": Feed("paris_road_counts_live", _roads_live, _from_file(MONTH_PATTERN), drop=("file",), label=MONTH_PATTERN),
         "road-sensors": Feed("paris_road_sensors", archives.read_delimited_text),
-        "bike-docks": Feed("velib", _docks, polled, immutable=True),
+        "bike-docks": Feed("velib", _docks, polled, immutable=True, label=STAMP_PATTERN),
         "disruptions": Feed(
             "prim_realtime_disruptions",
             lambda spark, raw: realtime.normalise_disruptions(_polls(spark, raw).drop("file")),
             polled,
             immutable=True,
+            label=STAMP_PATTERN,
         ),
-        "departures": Feed("prim_realtime_departures", _departures, polled, immutable=True, within=("monitoring_ref",)),
+        "departures": Feed("prim_realtime_departures", _departures, polled, immutable=True, within=("monitoring_ref",), label=STAMP_PATTERN),
         "network": Feed(
             "prim_realtime_network",
             lambda spark, raw: realtime.normalise_network_snapshot(_polls(spark, raw).drop("file")),
             polled,
             immutable=True,
+            label=STAMP_PATTERN,
         ),
     }
     for key, spec in tables.BULK_TABLES.items():
         if not spec.slice_column:
             found[key] = Feed(spec.table, partial(_bulk, key), F.col("part"))
-    for table, _ in archives.ACCIDENT_TABLE_PATTERNS:
-        found[f"accidents-{table}"] = Feed(f"baac_{table}", partial(_accidents, table), F.col("annee_fichier"))
+    for table, pattern in archives.ACCIDENT_TABLE_PATTERNS:
+        expand, parse = partial(_accident_chunks, table), partial(tables.normalise_accidents, table=table)
+        found[f"accidents-{table}"] = Feed(f"baac_{table}", _rows_of(expand, parse), F.col("annee_fichier"), expand=expand, parse=parse, chunk_part=F.col("year"), label=pattern)
     return found
 
 
-def collect_feed(spark: SparkSession, name: str, raw: str, lake: str, staging: str) -> DataFrame:
-    """Raw folder -> published partitions -> run report, for any feed of ``feeds()``."""
+def publish_rows(feed: Feed, rows: DataFrame, lake: str, staging: str, isolate: bool = False, unreadable: DataFrame | None = None) -> DataFrame:
+    return publish_feed(
+        rows, feed.table, lake, staging, feed.part, checks=feed.checks, notes=report_notes(feed.table), drop=feed.drop,
+        immutable=feed.immutable, within=feed.within, isolate=isolate, unreadable=unreadable)
+
+
+def publish_chunks(feed: Feed, chunks: DataFrame, lake: str, staging: str, isolate: bool = False) -> DataFrame:
+    """Parse and publish written chunk rows; with ``isolate`` partitions of unreadable members are refused, the others published."""
+    unreadable = archives.unreadable_members(chunks)
+    refused = chunks.join(unreadable, ["path", "member"], "left_semi").where(F.col("chunk") == archives.UNREADABLE_CHUNK).select(
+        feed.chunk_part.alias(PART), F.concat_ws(": ", F.lit("unreadable"), "member", F.get("lines", F.lit(0))).alias("reason"))
+    if chunks.where("header is not null").isEmpty():
+        report = chunks.sparkSession.createDataFrame([], REPORT_SCHEMA)
+        return with_remarks(report, refused.withColumn("reason", F.concat(F.lit("refused: "), "reason")), feed.table)
+    return publish_rows(feed, feed.parse(chunks), lake, staging, isolate, refused if isolate else None)
+
+
+def collect_feed(spark: SparkSession, name: str, raw: str, lake: str, staging: str, isolate: bool = False) -> DataFrame:
+    """Raw folder -> published partitions -> run report, for any feed of ``feeds()``.
+
+    Archives are expanded once, into ``staging``. A failing gate or an unreadable member ends the run before anything is
+    published; with ``isolate`` it keeps its own partition from being published, and the report says so.
+    """
     known = feeds()
     if name not in known:
         raise KeyError(f"unknown feed {name!r}; known: {sorted(known)}")
     feed = known[name]
-    return publish_feed(
-        feed.rows(spark, raw), feed.table, lake, staging, feed.part,
-        checks=feed.checks, notes=report_notes(feed.table), drop=feed.drop, immutable=feed.immutable, within=feed.within,
-    )
+    if feed.expand is None:
+        return publish_rows(feed, feed.rows(spark, raw), lake, f"{staging}/rows", isolate)
+    return publish_chunks(feed, archives.stage(feed.expand(spark, raw, isolate), f"{staging}/chunks"), lake, f"{staging}/rows", isolate)
+
+
+def collect_accidents(spark: SparkSession, raw: str, lake: str, staging: str, isolate: bool = False) -> DataFrame:
+    """All four accident tables from one expansion of the raw folder; one report."""
+    chunks = archives.stage(tables.accident_chunks(archives.raw_files(spark, raw, "*.csv"), None, isolate), f"{staging}/chunks")
+    known, report = feeds(), None
+    for table, _ in archives.ACCIDENT_TABLE_PATTERNS:
+        own = publish_chunks(known[f"accidents-{table}"], chunks.where(F.col("table") == table), lake, f"{staging}/{table}", isolate)
+        report = own if report is None else report.unionByName(own)
+    return report
 
 
 def collect_monthly(spark: SparkSession, key: str, strings: DataFrame, months: DataFrame, lake: str, staging: str) -> DataFrame:

@@ -12,6 +12,7 @@ from ...operators import gates
 from ...operators.columns import masked_count, union_drifted
 from ..archives import (
     MEMBER_PATTERN,
+    UNREADABLE_CHUNK,
     classify_members,
     expand_archive,
     header_shapes,
@@ -19,7 +20,7 @@ from ..archives import (
     sniff_separator,
     stage,
 )
-from .jobs import publish_feed, report_notes
+from .jobs import publish_feed, report_notes, with_remarks
 
 # Fixed value: the year in an archive's file name.
 ARCHIVE_YEAR_PATTERN = r"([0-9]{4})\.zip$"
@@ -30,16 +31,16 @@ def archive_year(path: Column) -> Column:
     return F.nullif(F.regexp_extract(path, ARCHIVE_YEAR_PATTERN, 1), F.lit(""))
 
 
-def members(files: DataFrame) -> DataFrame:
+def members(files: DataFrame, tolerant: bool = False) -> DataFrame:
     """Expanded and classified members of yearly archives, skipped ones included."""
-    chunks = expand_archive(files, wanted=MEMBER_PATTERN)
+    chunks = expand_archive(files, wanted=MEMBER_PATTERN, tolerant=tolerant)
     return classify_members(chunks, archive_year(F.col("path")))
 
 
 def skipped_members(chunks: DataFrame) -> DataFrame:
     """(archive year, member, why) of everything that is not data of the archive's own year."""
     return (
-        chunks.where(F.col("status") != "ok")
+        chunks.where((F.col("status") != "ok") & (F.col("chunk") != UNREADABLE_CHUNK))
         .select(archive_year(F.col("path")).alias("annee"), "member", F.col("status").alias("reason"))
         .distinct()
     )
@@ -91,30 +92,53 @@ def normalise_profiles(chunks: DataFrame, network: str = RAIL) -> DataFrame:
     )
 
 
-def refresh(files: DataFrame, lake: str, staging: str, source: str = "idfm_validations", network: str = RAIL) -> DataFrame:
+def lacking_members(chunks: DataFrame, network: str) -> DataFrame:
+    """(path, member, kind, missing): members of a network whose layout lacks a column that their kind needs."""
+    counts = gates.REQUIRED_RAIL_COUNTS if network == RAIL else gates.REQUIRED_SURFACE_COUNTS
+    of_network = chunks.where((F.col("status") == "ok") & (F.col("network") == network) & F.col("header").isNotNull())
+    bad = []
+    for kind, needed in (("NB", counts), ("PROFIL", gates.REQUIRED_PROFILES)):
+        for _, header, names in header_shapes(of_network.where(F.col("kind") == kind), sniff_separator):
+            if missing := gates.missing_columns(names, needed):
+                bad.append((kind, header, ", ".join(missing)))
+    layouts = chunks.sparkSession.createDataFrame(bad, "kind string, header string, missing string")
+    return of_network.join(layouts, ["kind", "header"]).select("path", "member", "kind", "missing").distinct()
+
+
+def refresh(files: DataFrame, lake: str, staging: str, source: str = "idfm_validations", network: str = RAIL, isolate: bool = False) -> DataFrame:
     """Yearly archives -> gated, published counts and profiles -> run report.
 
-    Archives are expanded once into ``staging``; nothing is published when a gate fails.
+    Archives are expanded once into ``staging``; nothing is published when a gate fails, a member cannot be read or lacks a column. With
+    ``isolate`` only the year of such a member is refused. The report names what was refused and, per archive year, the members that
+    were passed over.
     """
-    chunks = stage(members(files), f"{staging}/members")
+    chunks = stage(members(files, isolate), f"{staging}/members")
     normalise = normalise_rail_counts if network == RAIL else normalise_surface_counts
-    of_network = (F.col("status") == "ok") & (F.col("network") == network)
+    of_network = (F.col("status") == "ok") & (F.col("network") == network) & F.col("header").isNotNull()
+    bad = chunks.where(F.col("chunk") == UNREADABLE_CHUNK).select(
+        archive_year(F.col("path")).alias("part"), F.concat_ws(": ", F.lit("unreadable"), "member", F.get("lines", F.lit(0))).alias("reason"))
+    if isolate:
+        lacking = stage(lacking_members(chunks, network), f"{staging}/lacking")
+        bad = bad.unionByName(lacking.select(archive_year(F.col("path")).alias("part"), F.concat_ws(" ", "member", F.lit("lacks"), "missing").alias("reason")))
+        chunks = chunks.join(lacking.select("path", "member"), ["path", "member"], "left_anti")
+    refused = {"isolate": isolate, "unreadable": bad if isolate else None}
     reports = []
     if gates.gate_empty(chunks.where(of_network & (F.col("kind") == "NB"))):
         reports.append(
             publish_feed(
                 normalise(chunks), source, lake, f"{staging}/counts", F.col("annee"),
                 checks=[lambda rows: gates.gate_dates(rows, ["path", "member"])],
-                notes=report_notes(source), drop=("path", "member"),
+                notes=report_notes(source), drop=("path", "member"), **refused,
             )
         )
     if gates.gate_empty(chunks.where(of_network & (F.col("kind") == "PROFIL"))):
         reports.append(
             publish_feed(
                 normalise_profiles(chunks, network), f"{source}_profil", lake, f"{staging}/profiles", F.col("annee"),
-                drop=("path", "member"),
+                drop=("path", "member"), **refused,
             )
         )
     if not reports:
         raise gates.GateFailure(f"{source}: no member of network {network} recognised")
-    return union_drifted(reports)
+    passed_over = skipped_members(chunks).select(F.col("annee").alias("part"), F.concat_ws(" ", F.lit("skipped"), "member", F.concat(F.lit("("), "reason", F.lit(")"))).alias("reason"))
+    return union_drifted([with_remarks(reports[0], passed_over, source), *reports[1:]])

@@ -43,6 +43,9 @@ def normalise_weather(strings: DataFrame, department: Column) -> DataFrame:
 
 # -- bulk tables --------------------------------------------------------------------------
 
+FLOW_MEMBERS, ROAD_MEMBERS = r"(?i)\.csv$", r"(?i)\.txt$"
+
+
 @dataclass(frozen=True)
 class BulkTable:
     """A table filled from one or more portal datasets: partition label -> dataset id."""
@@ -118,14 +121,14 @@ def normalise_bulk_monthly(strings: DataFrame, spec: BulkTable, months: DataFram
 
 # -- accidents ----------------------------------------------------------------------------
 
-def accident_chunks(files: DataFrame, table: str | None = None) -> DataFrame:
+def accident_chunks(files: DataFrame, table: str | None = None, tolerant: bool = False) -> DataFrame:
     """Accident files of all years, decoded, with (table, year) from the file name: of one table, or of all.
 
     Files of other tables are left out by name, before any byte is decoded.
     """
     named = classify_yearly_tables(files.withColumn("name", base_name(F.col("path"))))
     known = named.where(F.col("table") == table if table else F.col("table").isNotNull())
-    return classify_yearly_tables(expand_archive(known).withColumn("name", F.col("member")))
+    return classify_yearly_tables(expand_archive(known, tolerant=tolerant).withColumn("name", F.col("member")))
 
 
 def normalise_accidents(chunks: DataFrame, table: str, region_only: bool = True) -> DataFrame:
@@ -162,7 +165,10 @@ def normalise_commuting_matrix(strings: DataFrame, vintage: str | Column, both_e
 
 def commuting_strings(files: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """The CSV member of each vintage's ZIP."""
-    chunks = expand_archive(files, wanted=r"(?i)\.csv$")
+    return commuting_rows(expand_archive(files, wanted=FLOW_MEMBERS), carry)
+
+
+def commuting_rows(chunks: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     return parse_members(chunks, separator=";", rule=plain_name, carry=carry)
 
 
@@ -182,7 +188,10 @@ def normalise_road_archive(strings: DataFrame) -> DataFrame:
 
 def road_archive_strings(files: DataFrame, carry: tuple[str, ...] = ("path",)) -> DataFrame:
     """Weekly text members of yearly archives."""
-    chunks = expand_archive(files, wanted=r"(?i)\.txt$")
+    return road_archive_rows(expand_archive(files, wanted=ROAD_MEMBERS), carry)
+
+
+def road_archive_rows(chunks: DataFrame, carry: tuple[str, ...] = ("path",)) -> DataFrame:
     return parse_members(chunks, separator=";", rule=plain_name, carry=carry)
 
 

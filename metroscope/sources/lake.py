@@ -23,6 +23,7 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("note", T.StringType()),
     ]
 )
+REPORT_SCHEMA = "source string, partition string, rows bigint, path string, notes array<string>"
 VENUE_SCHEMA = (
     "venue_id string, name string, commune string, lat double, lon double, "
     "serving_zdc string, radius_m int, notes string"

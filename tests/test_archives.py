@@ -55,7 +55,8 @@ def test_ridership_job(spark, tmp_path):
         report = ridership.refresh(files, root, str(tmp_path / f"stage{run}"))
     got = {(r.source, r.partition): (r.rows, r.notes) for r in report.collect()}
     assert got == {
-        ("idfm_validations", "2023"): (5, ["2 masked counts preserved as null + flag"]),
+        ("idfm_validations", "2023"): (5, ["2 masked counts preserved as null + flag", "skipped 2022_S1_NB_FER.txt (wrong year)",
+                                           "skipped lisez-moi.pdf (unrecognised)", "skipped older.zip (nested archive)"]),
         ("idfm_validations_profil", "2023"): (1, []),
     }
     rows = lake.scan_table(spark, f"{root}/idfm_validations").orderBy("jour").collect()
