@@ -84,30 +84,42 @@ def op2_pfair_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("row.doc_id", "source", "block", "slot", "release", "deadline")
 
 
-# The schedule is played slot by slot: among the released blocks not yet served, the earliest deadline.
+# The schedule is played slot by slot: among the released blocks not yet served, the earliest deadline. Sources
+# without a weight of their own are one stream, whose blocks they take in turns.
 ORACLES["op2_pfair_mixing"] = r"""
-WITH RECURSIVE parts AS (
-  SELECT source, CASE source WHEN 'src0' THEN 6 WHEN 'src1' THEN 3 WHEN 'src2' THEN 3 ELSE 2 END AS k FROM (SELECT DISTINCT source FROM documents)
-), total AS (SELECT sum(k) AS q FROM parts),
+WITH RECURSIVE sources AS (
+  SELECT source, CASE source WHEN 'src0' THEN 6 WHEN 'src1' THEN 3 WHEN 'src2' THEN 3 END AS own FROM (SELECT DISTINCT source FROM documents)
+), equals AS (
+  SELECT source, row_number() OVER (ORDER BY md5(coalesce('=' || source, '')), source) - 1 AS place, count(*) OVER () AS m FROM sources WHERE own IS NULL
+), streams AS (
+  SELECT source AS name, own AS k, 0 AS last FROM sources WHERE own IS NOT NULL
+  UNION ALL SELECT NULL, 2 * count(*), 1 FROM equals HAVING count(*) > 0
+), total AS (SELECT CAST(sum(k) AS BIGINT) AS q FROM streams),
 jobs AS (
-  SELECT source, k, q, j, j * q // k AS release,
-    ((j + 1) * q + k - 1) // k AS deadline
-  FROM (SELECT source, k, unnest(range(k)) AS j FROM parts), total
-), ranked AS (SELECT *, row_number() OVER (ORDER BY deadline, source, j) AS id FROM jobs),
+  SELECT name, last, j, j * q // k AS release, ((j + 1) * q + k - 1) // k AS deadline
+  FROM (SELECT name, k, last, unnest(range(k)) AS j FROM streams), total
+), ranked AS (SELECT *, row_number() OVER (ORDER BY deadline, last, name, j) AS id FROM jobs),
 play(slot, served) AS (
   SELECT CAST(-1 AS BIGINT), CAST([] AS BIGINT[])
   UNION ALL
   SELECT slot + 1, list_append(served, (SELECT min(id) FROM ranked WHERE release <= slot + 1 AND NOT list_contains(served, id)))
   FROM play WHERE slot + 1 < (SELECT q FROM total)
-), served AS (SELECT slot, served[len(served)] AS id FROM play WHERE slot >= 0),
-streams AS (
+), served AS (SELECT p.slot, r.name, r.j FROM play p JOIN ranked r ON r.id = p.served[len(p.served)] WHERE p.slot >= 0),
+begun AS (
   SELECT doc_id, source, coalesce(sum(length(coalesce(text, ''))) OVER (
     PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)), md5(coalesce(text, '')) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM documents
-), blocks AS (SELECT doc_id, s.source, CAST(before // 65536 AS BIGINT) AS block, k, q FROM streams s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source, total)
-SELECT b.doc_id, b.source, b.block, CAST(b.block // b.k * b.q + s.slot AS BIGINT) AS slot,
-  CAST(b.block // b.k * b.q + r.release AS BIGINT) AS release, CAST(b.block // b.k * b.q + r.deadline AS BIGINT) AS deadline
-FROM blocks b JOIN ranked r ON r.source IS NOT DISTINCT FROM b.source AND r.j = b.block % b.k JOIN served s ON s.id = r.id
+), blocks AS (
+  SELECT d.doc_id, d.source, CAST(d.before // 65536 AS BIGINT) AS block, s.own, coalesce(s.own, 2) AS k, e.place, e.m
+  FROM begun d JOIN sources s ON s.source IS NOT DISTINCT FROM d.source
+  LEFT JOIN equals e ON e.source IS NOT DISTINCT FROM d.source AND s.own IS NULL
+), nth AS (
+  SELECT *, CASE WHEN own IS NULL THEN block * m + place ELSE block END AS n, CASE WHEN own IS NULL THEN 2 * m ELSE own END AS cycle,
+    CASE WHEN own IS NOT NULL THEN source END AS stream FROM blocks
+)
+SELECT n.doc_id, n.source, n.block, CAST(n.n // n.cycle * q + s.slot AS BIGINT) AS slot,
+  CAST(n.block * q // n.k AS BIGINT) AS release, CAST(((n.block + 1) * q + n.k - 1) // n.k AS BIGINT) AS deadline
+FROM nth n JOIN served s ON s.name IS NOT DISTINCT FROM n.stream AND s.j = n.n % n.cycle, total
 """
 
 
