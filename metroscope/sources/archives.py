@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import canonical_name, plain_name
+from ..session import scratch_folder
 
 # Member and archive names as published, and the encodings tried in turn.
 MEMBER_PATTERN = r"(?i)([0-9]{4})\s*_?\s*([ST][0-9])\s*_\s*(NB|PROFIL)\s*_\s*(FER|SURFACE)\s*\.(?:txt|csv)$"
@@ -403,17 +404,57 @@ def parse_members(
 
 # -- plain readers ------------------------------------------------------------------------
 
+def ends_open(line: Column, separator: str) -> Column:
+    """Whether a quoted cell is open at the end of a line that begins outside of one (``_ends_open`` as one expression)."""
+    opening = rf'\Q{separator}\E"'
+    plain = rf"(?:(?!{opening})[\s\S])*+{opening}"
+    quoted = r'(?:[^"]++|"")*+'
+    return F.when(F.contains(line, F.lit('"')), line.rlike(rf'\A(?:"|(?!"){plain})(?:{quoted}"{plain})*+{quoted}\z')).otherwise(False)
+
+
+def _whole_file_chunks(spark: SparkSession, paths: list[str], sep: str, encoding: str, header_only: bool) -> DataFrame:
+    # Paths come from a listing: characters that stand for patterns are themselves.
+    escaped = [re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths]
+    return raw_files(spark, escaped).select("path", "content").mapInArrow(_expander(encoding, None, sep, header_only=header_only), CHUNK_SCHEMA)
+
+
 def read_delimited_text(spark: SparkSession, path, sep: str = ";", encoding: str = "utf-8-sig", file_col: str | None = None) -> DataFrame:
     """Header CSV (plain or gzip) with every column as text, each file under its own header.
 
     Columns may come in another order or be missing from file to file; quoted cells may hold line breaks. A first
-    pass reads the headers alone. A file is one task until its rows are spread.
+    pass finds each file's header and whether a line ends inside a quoted cell. Files without such lines are read
+    line by line, so that a large one is many tasks; those that have them, ZIP archives and encodings other than UTF-8 are
+    read whole, one task each, up to Spark's 2 GB for one cell. The paths of the latter reach the driver. Empty files give no rows.
     ``file_col`` adds the path of each row's file, for feeds that label rows by file name.
     """
-    files = raw_files(spark, path).select("path", "content")
-    heads = files.mapInArrow(_expander(encoding, None, sep, header_only=True), CHUNK_SCHEMA)
-    chunks = files.mapInArrow(_expander(encoding, None, sep), CHUNK_SCHEMA)
-    rows = parse_members(chunks, sep, plain_name, ("path",), header_shapes(heads, sep, plain_name))
+    by_line = None
+    if encoding.lower() in ("utf-8", "utf-8-sig"):
+        text = spark.read.text(path, lineSep="\n", recursiveFileLookup=True)
+        # Both passes read the same splits, so a line has the same number in each.
+        lines = text.select(
+            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("number"),
+            F.make_valid_utf8(F.rtrim("value", F.lit("\r"))).alias("line")).where("line <> ''")
+        # collect_set makes this a hash aggregate of objects; with min alone, Spark would sort all lines by path.
+        heads = lines.groupBy("path").agg(
+            F.min(F.struct("start", "number", "line")).alias("head"), F.collect_set(ends_open(F.ltrim("line", F.lit("\ufeff")), sep)).alias("open"))
+        # The metadata column holds an encoded path, listings a plain one.
+        file = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
+        heads = stage(heads.select("path", file.alias("file"), F.col("head.number").alias("first"), F.regexp_replace("head.line", "^\ufeff", "").alias("header"),
+                                   F.array_contains("open", True).alias("open")), scratch_folder(spark, "heads"))
+        archive = F.lower("file").endswith(".zip")
+        by_line = heads.where(~F.col("open") & ~archive)
+        taken = [r.file for r in heads.where(F.col("open") | archive).select("file").collect()]
+    else:
+        taken = [r.path for r in raw_files(spark, path).select("path").collect()]
+    parts, headers = [], []
+    if by_line is not None:
+        headers.append(by_line.select("header"))
+        parts.append(lines.join(by_line.select("path", "file", "first", "header"), "path").where("number <> first").select(F.col("file").alias("path"), "header", F.array("line").alias("lines")))
+    if taken:
+        headers.append(_whole_file_chunks(spark, taken, sep, encoding, True).select("header"))
+        parts.append(_whole_file_chunks(spark, taken, sep, encoding, False).select("path", "header", "lines"))
+    union = lambda frames: frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+    rows = parse_members(union(parts), sep, plain_name, ("path",), header_shapes(union(headers), sep, plain_name))
     return rows.withColumnRenamed("path", file_col) if file_col else rows.drop("path")
 
 

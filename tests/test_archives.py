@@ -210,6 +210,47 @@ def test_files_under_their_own_headers(spark, tmp_path):
     assert got == [("1", "t1", "10", "0.5", "01.csv"), ("2", "t2", "20", "ligne un\nligne deux", "02.csv"), ("3", "t3", None, None, "csv.gz")]
 
 
+def test_large_plain_file_is_read_by_many_tasks(spark, tmp_path):
+    """One file over many splits, beside one with quoted line breaks, a copy of the header as data, and odd names and bytes."""
+    body = "".join(f'{i};"x;{i}";say "{i}"\r\n' for i in range(20_000))
+    (tmp_path / "big+file [1]%.csv").write_bytes(("\ufeff\r\n\na;b;c\r\n" + body + "a;b;c\n").encode())
+    (tmp_path / "broken é{2}.csv").write_text('b;a\n"one\ntwo";7\n')
+    (tmp_path / "bytes.csv").write_bytes(b"a;b\n8;caf\xe9\n9;\n")
+    (tmp_path / "header.csv").write_text("a;b;d\n")
+    with zipfile.ZipFile(tmp_path / "in.zip", "w") as z:
+        z.writestr("m.csv", "a;b\n10;z\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = archives.read_delimited_text(spark, str(tmp_path), file_col="file")
+        assert set(rows.columns) == {"file", "a", "b", "c", "d"}
+        assert rows.rdd.getNumPartitions() > 20
+        got = {(r.a, r.b, r.c, r.d, r.file.rsplit("/", 1)[-1]) for r in rows.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = {(str(i), f"x;{i}", f'say "{i}"', None, "big+file [1]%.csv") for i in range(20_000)} | {("a", "b", "c", None, "big+file [1]%.csv")}
+    want |= {("7", "one\ntwo", None, None, "broken é{2}.csv"), ("8", "caf\ufffd", None, None, "bytes.csv"), ("9", None, None, None, "bytes.csv"), ("10", "z", None, None, "in.zip")}
+    assert got == want
+
+
+def test_open_quotes_as_an_expression(spark):
+    import itertools
+
+    lines = ["".join(c) for n in range(8) for c in itertools.product('";a', repeat=n)] + ['"' + 'a""' * 100_000, "a;" * 100_000 + '"', '"x";' * 50_000]
+    got = spark.createDataFrame([(line,) for line in lines], "line string").select("line", archives.ends_open(F.col("line"), ";").alias("open"))
+    assert [r for r in got.collect() if r.open != archives._ends_open(r.line, ";", False)] == []
+
+
+def test_other_encodings_are_read_whole(spark, tmp_path):
+    (tmp_path / "x.csv").write_bytes("a;b\n1;é\n".encode("cp1252"))
+    assert [tuple(r) for r in archives.read_delimited_text(spark, str(tmp_path), encoding="cp1252").collect()] == [("1", "é")]
+
+
+def test_no_lines_at_all(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("\n\n")
+    assert archives.read_delimited_text(spark, str(tmp_path)).count() == 0
+
+
 def test_many_layouts(spark, tmp_path):
     zipped(tmp_path / "many.zip", {f"{k}.csv": f"a;c{k}\n{k};x\n" for k in range(520)})
     chunks = archives.expand_archive(archives.raw_files(spark, str(tmp_path), "*.zip"))
