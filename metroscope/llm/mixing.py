@@ -19,6 +19,7 @@ document is dropped or repeated.
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,6 +30,7 @@ from .storage import staged
 MAX_NAMED_PARTS = 100_000
 BUCKET_ROWS = 2_000
 FILE_CHARS = 32 << 20
+CELLS_PER_E = 64  # cells of slots while the slot grows e-fold
 CELL_DIGITS = 3  # unnamed sources are numbered in 16^3 cells
 
 
@@ -102,7 +104,7 @@ def _numbered(sources: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, carry: Column, weights: dict[str, int], default: int = 1, block_chars: int = 65_536) -> tuple[DataFrame, int]:
-    """(row, source, turn, tie, block, slot, release, deadline) per row of ``docs`` (doc_id, text, source), and the last slot.
+    """(row, source, turn, tie, chars, block, slot, release, deadline) per row of ``docs`` (doc_id, text, source), and the last slot.
 
     Inside its source a document's place is the md5 of its doc_id; a block is ``block_chars`` characters
     of that stream, a document belongs to the block in which it begins. ``weights`` are parts per named source, ``MAX_NAMED_PARTS``
@@ -159,14 +161,29 @@ def mixed(docs: DataFrame, carry: Column, weights: dict[str, int], default: int
     counted = base.withColumn("bucket", bucket).withColumn("inside", F.sum("chars").over(inside) - F.col("chars"))
     begun = counted.join(before, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).withColumn(
         "block", F.floor((F.col("before") + F.col("inside")) / block_chars))
-    return begun.select("row", "source", "turn", "tie", "block", slot.alias("slot"), release.alias("release"), deadline.alias("deadline")), (
+    return begun.select("row", "source", "turn", "tie", "chars", "block", slot.alias("slot"), release.alias("release"), deadline.alias("deadline")), (
         -1 if last is None else last)
 
 
 def in_mixed_order(docs: DataFrame, columns: tuple[str, ...], weights: dict[str, int], default: int = 1, block_chars: int = 65_536) -> DataFrame:
-    """``columns`` of all ``docs`` in the mixed order: partition by partition, and so file by file when written."""
+    """``columns`` of all ``docs`` in the mixed order: partition by partition, and so file by file when written.
+
+    Slots thin out as sources end, so files hold equal volumes and not equal numbers of slots: the characters of cells of slots are
+    counted, cells grow in proportion to the slot, and inside a cell a file is a stretch of slots.
+    """
     placed, last = mixed(docs, F.struct(*columns), weights, default, block_chars)
-    chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    files = max(1, -(-chars // FILE_CHARS))
-    return placed.withColumn("file", F.floor(F.col("slot") * files / (last + 1)).cast("int")).repartitionById(files, F.col("file")).sortWithinPartitions(
+    edges = [0]
+    while edges[-1] <= last:
+        edges.append(edges[-1] + max(FILE_CHARS // block_chars, edges[-1] // CELLS_PER_E, 1))
+    cell = _not_above(edges, F.col("slot")) - 1
+    # One number per cell, some hundreds for any number of slots.
+    sums = {r["cell"]: r["sum"] for r in placed.groupBy(cell.alias("cell")).agg(F.sum("chars").alias("sum")).collect()}
+    volumes = [sums.get(i, 0) for i in range(len(edges))]
+    before = [0, *itertools.accumulate(volumes)]
+    files = max(1, -(-before[-1] // FILE_CHARS))
+    of_cell = lambda values: F.get(_longs(values), F.col("cell"))
+    width = [b - a for a, b in itertools.pairwise(edges)] + [1]
+    reached = of_cell(before[:-1]) + of_cell(volumes) * ((F.col("slot") - of_cell(edges)) / of_cell(width))
+    file = F.least(F.floor(reached / FILE_CHARS), F.lit(files - 1)).cast("int")
+    return placed.withColumn("cell", cell).withColumn("file", file).repartitionById(files, F.col("file")).sortWithinPartitions(
         "slot", "turn", "tie").select(*[F.col(f"row.{c}").alias(c) for c in columns])

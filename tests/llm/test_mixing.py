@@ -142,6 +142,16 @@ def test_order_of_the_written_files(spark, tmp_path, monkeypatch):
     assert single == sorted(single)
 
 
+def test_files_are_even_when_one_source_runs_on(spark, tmp_path, monkeypatch):
+    """A third of the rows have a share of a hundredth: nearly all slots of the mix are the tail of that source."""
+    monkeypatch.setattr("metroscope.llm.mixing.FILE_CHARS", 20_000)
+    docs = spark.range(6_000).select(F.col("id").alias("doc_id"), F.lit("x" * 50).alias("text"), F.when(F.col("id") % 3 == 0, "hot").otherwise(
+        F.concat(F.lit("s"), F.col("id") % 100)).alias("source"))
+    in_mixed_order(docs, ("doc_id", "text", "source"), {}, 1, 500).write.parquet(str(tmp_path / "mix"))
+    sizes = [r["count"] for r in spark.read.parquet(str(tmp_path / "mix")).groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 6_000 and 12 <= len(sizes) <= 15 and max(sizes) <= 2 * 20_000 / 50
+
+
 def test_empty(spark):
     placed, last = mixed(awkward.empty(spark), F.struct("doc_id"), {}, 1)
     assert placed.count() == 0 and last == -1
