@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from metroscope.llm.decision_lists import quality_verdicts, verdicts_of
+from metroscope.llm.decision_lists import learned_rules, verdicts_of
 from metroscope.llm.jaccard_join import similar_components
 from metroscope.llm.mixing import in_mixed_order
 from metroscope.llm.packing import packed
@@ -26,7 +26,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the learned decision list; the others go."""
-    _, rules = quality_verdicts(docs, labels(spark, sf_dir), F.struct("doc_id"))
+    rules = learned_rules(docs, labels(spark, sf_dir))
     # Once the rules are known, one scan applies them: no text is written besides the result.
     return verdicts_of(docs, F.struct(*COLUMNS), rules).where("kept").select(*[F.col(f"row.{c}").alias(c) for c in COLUMNS])
 

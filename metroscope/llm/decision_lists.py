@@ -121,6 +121,11 @@ def any_rule(rules: list[Rule]) -> Column:
     return F.lit(False) if out is None else out.otherwise(F.lit(False))
 
 
+def _turn(key: str) -> Column:
+    """The order in which labelled rows are taken for learning."""
+    return F.xxhash64(F.lit("turn"), key)
+
+
 def learn_rules(rows: DataFrame, max_rows: int = 50_000, cuts: int = 48, max_rules: int = 12, max_literals: int = 4,
                 precision: float = 0.95, support: int = 5, tries: int = 2) -> list[Rule]:
     """Rules that find ``bad`` rows (0/1) of ``rows`` (key, bad and SHARES).
@@ -131,7 +136,7 @@ def learn_rules(rows: DataFrame, max_rows: int = 50_000, cuts: int = 48, max_rul
     least ``support`` growing rows are. After one that fails there no rule begins with its first literal or a looser one of that share and
     direction, nor with that share and direction at all once ``tries`` rules have failed so. No labelled rows or no bad row give an empty list. Ties go to the first share and the lowest threshold.
     """
-    marked = rows.where("bad is not null").withColumn("turn", F.xxhash64(F.lit("turn"), "key"))
+    marked = rows.where("bad is not null").withColumn("turn", _turn("key"))
     sample = staged(marked.orderBy("turn").limit(max_rows).select(
         *SHARES, F.col("bad").cast("int").alias("bad"), (F.pmod("turn", F.lit(3)) == 0).alias("prune")), "labelled")
     values = {}
@@ -210,6 +215,38 @@ def verdicts_of(docs: DataFrame, carry: Column, rules: list[Rule]) -> DataFrame:
     return told.select("row", (~base_failed() & ~any_rule(rules)).alias("kept"))
 
 
+def _known(labels: DataFrame) -> DataFrame:
+    """(doc_id, quality): one label per document, the lowest of several."""
+    return labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+
+
+def learned_rules(docs: DataFrame, labels: DataFrame, max_rows: int = 50_000, **limits) -> list[Rule]:
+    """The rules of ``quality_verdicts``, from statistics of the labelled texts that can be among the ``max_rows`` it learns from.
+
+    Labelled documents are taken in ranges of their turn, the lowest first, until ``max_rows`` rows that pass the base rule are found
+    or no label is left. No range is read twice; a table with few labels, or with few texts that pass, is read to its end.
+    """
+    known = _known(labels).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+    place = _turn("doc_id") / F.lit(2.0**64) + 0.5  # 0 to 1, in the order of turns
+    labelled = known.count()
+    parts, found, low = [], 0, 0.0
+    while low < 1.0 and (found < max_rows or not parts):
+        # As many labels as the share that passed so far asks for, and a tenth more.
+        passed = max(found, 1) / (low * max(labelled, 1)) if parts else 1.0
+        high = min(1.0, low + max(1.1 * (max_rows - found) / (passed * max(labelled, 1)), 1e-6))
+        here = (place >= low) & (place < high) if high < 1.0 else place >= low
+        marks = staged(known.where(here), "marks")
+        texts = docs.where("doc_id is not null").where(here).select("doc_id", "text").join(marks, "doc_id")
+        part = staged(text_statistics(texts, F.struct("doc_id", "quality")), "taught").where(~base_failed())
+        found += part.count()
+        parts.append(part.select(F.col("row.doc_id").alias("key"), (F.col("row.quality") == 0).alias("bad"), *SHARES))
+        low = high
+    taught = parts[0]
+    for part in parts[1:]:
+        taught = taught.unionByName(part)
+    return learn_rules(taught, max_rows, **limits)
+
+
 def quality_verdicts(docs: DataFrame, labels: DataFrame, carry: Column, **limits) -> tuple[DataFrame, list[Rule]]:
     """(row, statistics, base_failed, kept) per row of ``docs`` (doc_id, text), and the rules.
 
@@ -219,9 +256,8 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, carry: Column, **limits
     no words, so it fails the base rule. Rows of a null doc_id are judged like any other. Repeated
     rows give repeated results.
     """
-    known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     stats = staged(text_statistics(docs, carry), "statistics").withColumn("base_failed", base_failed())
-    taught = stats.where("not base_failed").select(F.col("row.doc_id").alias("doc_id"), *SHARES).join(known, "doc_id").select(
+    taught = stats.where("not base_failed").select(F.col("row.doc_id").alias("doc_id"), *SHARES).join(_known(labels), "doc_id").select(
         F.col("doc_id").alias("key"), (F.col("quality") == 0).alias("bad"), *SHARES)
     rules = learn_rules(taught, **limits)
     return stats.withColumn("kept", ~F.col("base_failed") & ~any_rule(rules)), rules

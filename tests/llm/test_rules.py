@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from metroscope.llm.decision_lists import Literal, any_rule, learn_rules, quality_verdicts, text_statistics
+from metroscope.llm.decision_lists import Literal, any_rule, learn_rules, learned_rules, quality_verdicts, text_statistics
 
 from . import awkward
 
@@ -49,6 +49,18 @@ def test_without_labels_or_rows(spark):
     assert rules == [] and verdicts.count() == 0
 
 
+def test_rules_from_ranges_of_turns(spark):
+    good = [(k, awkward.prose(k, 60 if k % 3 else 9), *[None] * 16) for k in range(240)]
+    bad = [(300 + k, awkward.prose(k, 60 if k % 5 else 4).replace(" ", "### "), *[None] * 16) for k in range(120)]
+    docs = awkward.frame(spark, good + bad + [(None, awkward.prose(1, 60), *[None] * 16), (7, None, *[None] * 16)])
+    marks = [(i, int(i < 300), 0, None, None, None) for i in [*range(0, 240), *range(300, 420), *range(5000, 5200)]] + [(None, 0, 0, None, None, None), (3, None, 0, None, None, None)]
+    labels = spark.createDataFrame(marks, awkward.LABELS)
+    for most in (40, 150, 50_000):
+        _, whole = quality_verdicts(docs, labels, F.struct("doc_id"), max_rows=most)
+        assert learned_rules(docs, labels, most) == whole and whole
+    assert learned_rules(docs, labels.limit(0)) == learned_rules(awkward.empty(spark), labels) == []
+
+
 def test_first_rule_of_the_list_decides(spark):
     rules = [(Literal("digit_share", True, 0.5), Literal("mean_word", False, 3.0)), (Literal("upper_share", True, 0.9),)]
     rows = spark.createDataFrame([(0.6, 2.0, 0.0), (0.6, 4.0, 0.0), (0.0, 4.0, 0.95)], "digit_share double, mean_word double, upper_share double")
