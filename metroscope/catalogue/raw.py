@@ -10,23 +10,35 @@ import io
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOB = "path string, content binary"
 
 
-def _groups(batch: pa.RecordBatch, keys: tuple[str, ...]) -> dict[tuple, list[str]]:
-    columns = [batch.column(k).to_pylist() for k in (*keys, "line")]
-    groups: dict[tuple, list[str]] = {}
-    for *key, line in zip(*columns):
-        groups.setdefault(tuple(key), []).append(line)
-    return groups
+def _groups(batch: pa.RecordBatch, keys: tuple[str, ...]) -> Iterator[tuple[tuple, str]]:
+    """Each key with its lines as one text, both in the order of the batch; no row becomes a Python object."""
+    if not batch.num_rows:
+        return
+    group = np.zeros(batch.num_rows, dtype=np.int64)
+    for key in keys:
+        cells = batch.column(key).dictionary_encode(null_encoding="encode")
+        # Numbered anew after every key, so that the numbers stay below the rows of the batch.
+        _, first, group = np.unique(group * len(cells.dictionary) + cells.indices.to_numpy(), return_index=True, return_inverse=True)
+    ends = np.concatenate(([0], np.cumsum(np.bincount(group)))).astype(np.int32)
+    lines = batch.column("line").take(pa.array(np.argsort(group, kind="stable")))
+    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), lines), "\n")
+    turns = pa.array(np.argsort(first))
+    heads = [batch.column(k).take(pa.array(first)).take(turns).to_pylist() for k in keys]
+    for *key, text in zip(*heads, texts.take(turns)):
+        yield tuple(key), text.as_py()
 
 
-def _encoded(header: str, lines: list[str], encoding: str) -> bytes:
-    return "\n".join([header, *lines, ""]).encode(encoding)
+def _encoded(header: str, lines: str, encoding: str) -> bytes:
+    return "\n".join([header, lines, ""]).encode(encoding)
 
 
 def _blobs(rows: list[tuple[str, bytes]]) -> pa.RecordBatch:
@@ -37,7 +49,7 @@ def _blobs(rows: list[tuple[str, bytes]]) -> pa.RecordBatch:
 def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         archives: dict[str, list] = {}
-        for (path, member, header, encoding), lines in _groups(batch, ("path", "member", "header", "encoding")).items():
+        for (path, member, header, encoding), lines in _groups(batch, ("path", "member", "header", "encoding")):
             archives.setdefault(path, []).append((member, _encoded(header, lines, encoding)))
         for path, members in archives.items():
             buffer = io.BytesIO()
@@ -51,7 +63,7 @@ def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for (path, header, encoding), lines in _groups(batch, ("path", "header", "encoding")).items():
+        for (path, header, encoding), lines in _groups(batch, ("path", "header", "encoding")):
             yield _blobs([(path, _encoded(header, lines, encoding))])
 
 

@@ -179,7 +179,11 @@ def _records(text: Iterable[str], separator: str | None = None) -> Iterator[str]
             continue
         if separator is None:
             separator = widest_separator(line)
-        is_open = _ends_open(line, separator, is_open) if is_open or '"' in line else False
+        if not is_open and '"' not in line:
+            if record := line.rstrip("\r\n"):
+                yield record
+            continue
+        is_open = _ends_open(line, separator, is_open)
         pending.append(line)
         if not is_open:
             record = "".join(pending).rstrip("\r\n")

@@ -255,3 +255,29 @@ def test_many_layouts(spark, tmp_path):
     zipped(tmp_path / "many.zip", {f"{k}.csv": f"a;c{k}\n{k};x\n" for k in range(520)})
     chunks = archives.expand_archive(archives.raw_files(spark, str(tmp_path), "*.zip"))
     assert len(archives.header_shapes(chunks, ";")) == 520
+
+
+def test_packing_keeps_order_and_makes_no_row_objects():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from metroscope.catalogue import raw
+
+    n = 20_000
+    rows = [(f"raw/{k % 3}.zip", f"m{k % 2}.txt", "a;b", ("utf-8", "cp1252", "utf-16")[k % 3], f"{k};N° é – ÉTÉ") for k in range(n)]
+    batch = pa.RecordBatch.from_pydict(dict(zip(("path", "member", "header", "encoding", "line"), zip(*rows))))
+    expected: dict[tuple, list[str]] = {}
+    for *key, line in rows:
+        expected.setdefault(tuple(key), []).append(line)
+    keys = ("path", "member", "header", "encoding")
+    tracemalloc.start()
+    found = [(key, len(text)) for key, text in raw._groups(batch, keys)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(key, len("\n".join(lines))) for key, lines in expected.items()]
+    assert dict(raw._groups(batch, keys)) == {key: "\n".join(lines) for key, lines in expected.items()}
+    assert peak < 3_000_000, peak  # a Python object per cell takes over 5 MB here
+    assert not list(raw._groups(batch.slice(0, 0), keys))
+    nulls = batch.slice(0, 4).set_column(3, "encoding", pa.array([None, "utf-8", None, "utf-8"]))
+    assert [(key[-1], text.count("\n") + 1) for key, text in raw._groups(nulls, ("encoding",))] == [(None, 2), ("utf-8", 2)]
