@@ -56,10 +56,13 @@ def archived(lines, kind: str, network: str, header, line, prefix: str):
     """Yearly ZIPs; some lines also sit in a member of a wrong year, which must be skipped."""
     suffix = F.when(F.col("half") == "S1", f"_{kind}_{network}.txt").otherwise(f"_{kind}_{network} .txt")
     right = F.concat("year", F.lit("_"), "half", suffix)
-    wrong = F.when(F.col("n") == 1, F.concat(F.lit("1066"), "half", F.lit(f"_{kind}_{network}.csv")))
+    wrong = F.concat(F.lit("1066"), "half", F.lit(f"_{kind}_{network}.csv"))
+    # A choice of arrays instead of a filtered one: lambdas are not compiled, and this runs for every line.
+    dated, twice = F.col("year").isNotNull(), F.col("n") == 1
+    members = F.when(dated & twice, F.array(right, wrong)).when(dated, F.array(right)).when(twice, F.array(wrong))
     packed = lines.select(
         F.concat(F.lit(f"raw/{prefix}-"), "year", F.lit(".zip")).alias("path"),
-        F.explode(F.array_compact(F.array(right, wrong))).alias("member"),
+        F.explode(members).alias("member"),
         header.alias("header"),
         "encoding",
         line.alias("line"),

@@ -281,3 +281,21 @@ def test_packing_keeps_order_and_makes_no_row_objects():
     assert not list(raw._groups(batch.slice(0, 0), keys))
     nulls = batch.slice(0, 4).set_column(3, "encoding", pa.array([None, "utf-8", None, "utf-8"]))
     assert [(key[-1], text.count("\n") + 1) for key, text in raw._groups(nulls, ("encoding",))] == [(None, 2), ("utf-8", 2)]
+
+
+def test_members_of_lines_are_chosen_without_lambdas(spark):
+    import datetime
+
+    from metroscope.catalogue import feeds
+
+    day = datetime.datetime
+    rows = [(1, 1, 3.0, 0.1, "R", day(2019, 2, 3)), (2, 2, 50.0, 0.2, "A", day(2020, 8, 9)), (3, None, 7.0, 0.3, None, day(2018, 1, 1)), (4, 3, 1.0, 0.4, "N", None)]
+    lines = spark.createDataFrame(rows, "l_suppkey long, l_linenumber int, l_quantity double, l_discount double, l_returnflag string, l_shipdate timestamp")
+
+    class T:
+        lineitem = lines
+
+    zips = feeds.rail_files(T)
+    assert "lambda" not in zips._jdf.queryExecution().optimizedPlan().toString()
+    names = sorted(r.member for r in feeds.ridership.members(zips).where("header is not null").collect())
+    assert names == ["1066S1_NB_FER.csv", "2018_S1_NB_FER.txt", "2019_S1_NB_FER.txt", "2020_S2_NB_FER .txt"]
