@@ -34,7 +34,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies: the one whose doc_id is the smallest."""
     kept = similar_components(docs, percent=80, size=5, orders=3).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("kept")).distinct()
+        F.col("doc_id").alias("kept"))
     same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
     # The rows with an id join on it alone, so that one shuffle serves the join and the window.
     numbered = docs.select(*COLUMNS).join(kept, F.col("doc_id") == F.col("kept"), "left_semi")

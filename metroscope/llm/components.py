@@ -38,13 +38,13 @@ def _mark(edges: DataFrame) -> tuple[int, str]:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
+    # Every edge points from the larger node to a smaller one, and gives one edge; repeated ones are left for the small star.
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    return edges.join(least.select(F.col("a").alias("b"), "m"), "b").select("a", F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    # Every edge points from the larger node to a smaller one.
+    # The edge to the smallest neighbour stays, the ends of the others turn to it.
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    lower = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return lower.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
+    return edges.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).distinct()

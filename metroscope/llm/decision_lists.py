@@ -126,6 +126,16 @@ def _turn(key: str) -> Column:
     return F.xxhash64(F.lit("turn"), key)
 
 
+def cuts_reached(cuts: list[float], x: Column) -> Column:
+    """How many of the ascending ``cuts`` are at most ``x``, by bisection of one constant: a plan of a condition per cut costs the driver memory."""
+    if not cuts:
+        return F.lit(0)
+    constants = F.split(F.lit(",".join(map(repr, cuts))), ",").cast("array<double>")
+    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
+    return F.reduce(F.array(*[F.lit(k) for k in steps]), F.lit(0), lambda low, step: F.when(
+        F.get(constants, low + step - 1) <= x, low + step).otherwise(low))
+
+
 def learn_rules(rows: DataFrame, max_rows: int = 50_000, cuts: int = 48, max_rules: int = 12, max_literals: int = 4,
                 precision: float = 0.95, support: int = 5, tries: int = 2) -> list[Rule]:
     """Rules that find ``bad`` rows (0/1) of ``rows`` (key, bad and SHARES).
@@ -145,8 +155,7 @@ def learn_rules(rows: DataFrame, max_rows: int = 50_000, cuts: int = 48, max_rul
             values.setdefault(share, set()).update(found)
     # Midway between neighbouring values, so that a rule's edge is not a training row's own value.
     cut_points = {s: [(a + b) / 2 for a, b in zip(sorted(v), sorted(v)[1:])] for s, v in values.items()}
-    binned = staged(sample.withColumn("bins", F.array(*[
-        sum((F.when(F.col(s) >= c, 1).otherwise(0) for c in cut_points[s]), F.lit(0)) for s in SHARES])), "binned")
+    binned = staged(sample.withColumn("bins", F.array(*[cuts_reached(cut_points[s], F.col(s)) for s in SHARES])), "binned")
     rules: list[Rule] = []
     failed: list[Literal] = []
     while len(rules) < max_rules:

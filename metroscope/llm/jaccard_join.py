@@ -169,7 +169,7 @@ def _levels(repeats: DataFrame) -> bytes:
     """Frequency levels (log2 of the count) by leading token bits; at most LEVEL_TOKENS tokens, the most frequent, get one."""
     counted = staged(repeats.groupBy("token").agg(F.log2(F.sum("df")).cast("int").alias("level")), "levels")
     least, total = 64, 0
-    for row in counted.groupBy("level").count().orderBy(F.desc("level")).collect():  # one row per level, 64 at most
+    for row in sorted(counted.groupBy("level").count().collect(), key=lambda r: -r["level"]):  # one row per level, 64 at most
         total += row["count"]
         if total > LEVEL_TOKENS:
             break

@@ -5,7 +5,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from metroscope.llm.decision_lists import Literal, any_rule, learn_rules, learned_rules, quality_verdicts, text_statistics
+from metroscope.llm import decision_lists
+from metroscope.llm.decision_lists import SHARES, Literal, any_rule, cuts_reached, learn_rules, learned_rules, quality_verdicts, text_statistics
 
 from . import awkward
 
@@ -67,3 +68,23 @@ def test_first_rule_of_the_list_decides(spark):
     assert [r[0] for r in rows.select(any_rule(rules)).collect()] == [True, False, True]
     assert [r[0] for r in rows.select(any_rule([])).collect()] == [False] * 3
     assert learn_rules(text_statistics(awkward.empty(spark), F.struct("doc_id")).select("*", F.lit(1).alias("key"), F.lit(True).alias("bad"))) == []
+
+
+def test_cuts_are_counted_in_a_small_plan(spark, monkeypatch):
+    cuts = [-1.5, 0.1, 0.1, 0.30000000000000004, 1e-300 + 0.5, 7.0]
+    values = [None, float("nan"), -2.0, -1.5, 0.1, 0.3, 0.30000000000000004, 0.5, 6.9, 7.0, float("inf")]
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select("x", *[cuts_reached(cuts[:k], F.col("x")).alias(f"n{k}") for k in range(len(cuts) + 1)]).collect()
+    for v, r in zip(values, rows):
+        for k in range(len(cuts) + 1):
+            assert r[f"n{k}"] == (0 if v is None else k if v != v else sum(v >= c for c in cuts[:k])), (v, k)
+    plans = {}
+
+    def kept(df, label, write=decision_lists.staged):
+        plans[label] = df._jdf.queryExecution().analyzed().toString()
+        return write(df, label)
+
+    monkeypatch.setattr(decision_lists, "staged", kept)
+    rows = spark.range(400).select(F.col("id").alias("key"), (F.col("id") % 3 == 0).alias("bad"), *[(F.pmod(F.xxhash64("id", F.lit(s)), F.lit(997)) / 997).alias(s) for s in SHARES])
+    learn_rules(rows)
+    # A condition for each of the hundreds of thresholds made this plan several hundred times as large.
+    assert plans["binned"].count("WHEN") <= len(SHARES)

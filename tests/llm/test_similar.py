@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from metroscope.llm.components import connected_components
+from metroscope.llm.components import _large_star, _small_star, connected_components
 from metroscope.llm.jaccard_join import LEVEL_BITS, least_shared, linked_pairs, ordered_prefix, similar_components, similar_link_counts, similar_links
 from metroscope.llm.words import shingle_set, word_hashes
 
@@ -115,6 +115,21 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_a_round_of_components_shuffles_once_per_step(spark):
+    pairs = [(k, 7 * k % 40) for k in range(40)] * 3 + [(k, k + 1) for k in range(50, 90, 3)] * 2 + [(90 + k, 90) for k in range(30)]
+    want = {}
+    for a, b in pairs:
+        if a != b:
+            both = want.get(a, {a}) | want.get(b, {b})
+            want.update(dict.fromkeys(both, both))
+    edges = spark.createDataFrame(pairs, "a long, b long")
+    found = {r["node"]: r["label"] for r in connected_components(edges).collect()}
+    assert found == {node: min(nodes) for node, nodes in want.items()}
+    # Per star a minimum and a join, and one that drops repeated edges at the end.
+    text = _small_star(_large_star(edges))._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(text.count(x) for x in ("Aggregate", "Distinct")) == 4 and text.count("Union") == 2
+
+
 def test_hashes_follow_the_text_only():
     long = "word " * 300_000 + "end"
     hashes = word_hashes(long)
