@@ -9,13 +9,14 @@ different orders at once even less.
 1. One pass hashes every text to its shingle set and counts the shingles that repeat within a batch.
    The counts give each shingle a frequency level, kept in a table of fixed size. Equal sets are one
    node from here on, so copies cost nothing further.
-2. A second pass groups the first order's prefixes by token. Tokens met in one node only cannot make
-   a candidate; the others are marked in a bitmap of fixed size.
-3. A third pass emits the active nodes: those whose prefix holds as many marked tokens as a partner
-   of the smallest possible size must share.
-4. Each token's smallest node is its hub. All candidates that share a token share its hub, so the
+2. A second pass deals the first order's prefixes by token. Tokens met in one node only cannot make
+   a candidate; the others go back to their nodes. Active are the nodes left with as many tokens as a
+   partner of the smallest possible size must share.
+3. Each token's smallest node is its hub. All candidates that share a token share its hub, so the
    hub's group (each node once, however many tokens it shares) holds every candidate pair. Only the
-   marked tokens travel at first: a member stays if some other member of a fitting size shares enough of them.
+   shared tokens travel at first: a member stays if some other member of a fitting size shares enough of them.
+4. A third pass emits the whole sets of the members that stay; a bitmap of fixed size over hashes of texts
+   tells which texts to read. Groups are dealt into blocks by name and size; sets join them last.
 5. First every node is in the group of its smallest hub; then those groups follow that hold nodes of
    different smallest hubs, for only they have pairs not yet seen.
 6. Groups are verified in bounded blocks: first everything against the smallest member, then what it did
@@ -25,8 +26,9 @@ different orders at once even less.
 7. Components of the links.
 
 Token and node identities are 64-bit hashes; with n different items about n*n / 2**65 pairs collide.
-The tables of fixed size only steer the order and the candidates: a collision there costs time, never
-a link.
+The tables of fixed size only steer the order and what travels: a collision there costs time, never
+a link. No bitmap holds tokens: a corpus shares more of them than any fixed size can tell apart, and
+beyond a share of false ones every node would be active. A collision of texts sends one set more.
 """
 
 from __future__ import annotations
@@ -83,7 +85,7 @@ def similar_components(docs: DataFrame, percent: int = 80, size: int = 5, orders
     doc_id takes part like any other and is never a component_id of a row that has an id beside it.
     """
     rows, active, levels = _prepared(docs, percent, size)
-    return _components(rows, _links(active, levels, percent, orders))
+    return _components(rows, _links(docs, rows, active, levels, percent, size, orders))
 
 
 def similar_links(docs: DataFrame, percent: int = 80, size: int = 5, orders: int = 3) -> DataFrame:
@@ -95,7 +97,7 @@ def similar_links(docs: DataFrame, percent: int = 80, size: int = 5, orders: int
     rows, active, levels = _prepared(docs, percent, size)
     nodes = _copies(rows)
     side = lambda x: nodes.select(F.col("node").alias(f"node_{x}"), F.col("least").alias(x), F.col("copies").alias(f"copies_{x}"))
-    pairs = _links(active, levels, percent, orders, every=True).select(F.col("a").alias("node_a"), F.col("b").alias("node_b"))
+    pairs = _links(docs, rows, active, levels, percent, size, orders, every=True).select(F.col("a").alias("node_a"), F.col("b").alias("node_b"))
     return pairs.join(side("a"), "node_a").join(side("b"), "node_b").select("a", "b", "copies_a", "copies_b")
 
 
@@ -105,7 +107,7 @@ def similar_link_counts(docs: DataFrame, percent: int = 80, size: int = 5, order
     A row without shingles has no links.
     """
     rows, active, levels = _prepared(docs, percent, size)
-    pairs = staged(_links(active, levels, percent, orders, every=True), "pairs")
+    pairs = staged(_links(docs, rows, active, levels, percent, size, orders, every=True), "pairs")
     nodes = _copies(rows)
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     beside = both.join(nodes.select(F.col("node").alias("b"), "copies"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("beside"))
@@ -115,11 +117,11 @@ def similar_link_counts(docs: DataFrame, percent: int = 80, size: int = 5, order
 
 
 def _prepared(docs: DataFrame, percent: int, size: int) -> tuple[DataFrame, DataFrame, bytes]:
-    """Rows (doc_id, node, n), the active nodes and the frequency levels."""
+    """Rows (doc_id, node, n, copy: a hash of the text), the active nodes and the frequency levels."""
     hashed = staged(_hashed(docs, size), "sets")
     levels = _levels(hashed.where("token is not null"))
-    marks = _marks(_postings(docs, levels, percent, size))
-    return hashed.where("token is null").select("doc_id", "node", "n"), staged(_active(docs, levels, marks, percent, size), "active"), levels
+    rows = hashed.where("token is null").select("doc_id", "node", "n", "copy")
+    return rows, staged(_active(rows, _postings(docs, levels, percent, size), percent), "active"), levels
 
 
 def _copies(rows: DataFrame) -> DataFrame:
@@ -138,7 +140,7 @@ def _components(rows: DataFrame, edges: DataFrame, *kept: str) -> DataFrame:
 
 
 def _hashed(docs: DataFrame, size: int) -> DataFrame:
-    """Per document its node and set size; besides, per batch the tokens met in several of its nodes."""
+    """Per document its node, its set size and a hash of its text; besides, per batch the tokens met in several of its nodes."""
 
     def run(batches):
         for batch in batches:
@@ -152,17 +154,17 @@ def _hashed(docs: DataFrame, size: int) -> DataFrame:
                     sets.setdefault(node, tokens)
             n = len(nodes)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
-                names=["doc_id", "node", "n", "token", "df"])
+                [batch.column(0).cast(pa.int64()), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), batch.column(2), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
+                names=["doc_id", "node", "n", "copy", "token", "df"])
             if sets:
                 tokens, df = np.unique(np.concatenate(list(sets.values())), return_counts=True)
                 tokens, df = tokens[df > 1], df[df > 1]
                 n = len(tokens)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), _signed(tokens), pa.array(df.astype(np.int64))],
-                    names=["doc_id", "node", "n", "token", "df"])
+                    [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), _signed(tokens), pa.array(df.astype(np.int64))],
+                    names=["doc_id", "node", "n", "copy", "token", "df"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, node long, n long, token long, df long")
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("copy")).mapInArrow(run, "doc_id long, node long, n long, copy long, token long, df long")
 
 
 def _levels(repeats: DataFrame) -> bytes:
@@ -211,93 +213,126 @@ def _shared(postings: DataFrame) -> DataFrame:
     return postings.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top").select("token", "hub")
 
 
-def _marks(postings: DataFrame) -> bytes:
-    """A bitmap over the leading bits of the shared tokens: 2**MARK_BITS bits whatever the input."""
-    place = F.shiftrightunsigned("token", 64 - MARK_BITS)
-    words = (_shared(postings)
-             .select(F.shiftright(place, 6).cast("int").alias("at"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(token, {64 - MARK_BITS}) & 63 as int))").alias("bit"))
+def _met_again(postings: DataFrame) -> DataFrame:
+    """The postings of tokens met in several nodes. Tokens stream by in order, so one in very many nodes fills no memory."""
+
+    def run(batches):
+        held, several = np.zeros((2, 0), dtype=np.int64), False  # the last row, as its token may go on, and whether that token's rows have gone out
+        for batch in batches:
+            rows = np.concatenate([held, [batch.column(k).to_numpy() for k in range(2)]], axis=1)
+            if rows.shape[1]:
+                starts = np.flatnonzero(np.concatenate(([True], rows[0, 1:] != rows[0, :-1])))
+                shared = np.minimum.reduceat(rows[1], starts) < np.maximum.reduceat(rows[1], starts)
+                shared[0] |= several
+                keep = np.repeat(shared, np.diff(starts, append=rows.shape[1]))
+                keep[0] &= not several
+                held, several = rows[:, -1:], bool(shared[-1])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows[:, keep]], names=["token", "node"])
+
+    return postings.repartition("token").sortWithinPartitions("token").mapInArrow(run, "token long, node long")
+
+
+def _active(rows: DataFrame, postings: DataFrame, percent: int) -> DataFrame:
+    """(node, n, shared): nodes that share enough tokens of their first prefix, with those and the size of the set."""
+    sizes = rows.where("node is not null").groupBy("node").agg(F.first("n").alias("n"))
+    shared = _met_again(postings).groupBy("node").agg(F.collect_set("token").alias("shared"))
+    up = lambda n: F.expr(f"({percent} * {n} + 99) div 100")
+    return (shared.join(sizes, "node").withColumn("smallest", up("n"))
+            .where(F.size("shared") >= 1 + F.floor((F.col("smallest") - up("smallest")) / 4)).select("node", "n", "shared"))
+
+
+def _marks(copies: DataFrame) -> bytes:
+    """A bitmap over the leading bits of (copy): 2**MARK_BITS bits whatever the input."""
+    place = F.shiftrightunsigned("copy", 64 - MARK_BITS)
+    words = (copies
+             .select(F.shiftright(place, 6).cast("int").alias("at"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(copy, {64 - MARK_BITS}) & 63 as int))").alias("bit"))
              .groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow())
     table = np.zeros(1 << (MARK_BITS - 6), dtype=np.int64)
     table[words.column("at").to_numpy()] = words.column("bits").to_numpy()
     return table.tobytes()
 
 
-def _active(docs: DataFrame, levels: bytes, marks: bytes, percent: int, size: int) -> DataFrame:
-    """(node, shared, tokens): nodes whose first prefix holds enough marked tokens, with those and the whole set."""
+def _whole(docs: DataFrame, rows: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """(node, tokens): the whole sets of ``nodes``. Of a node's texts the one of the smallest hash is read again; other texts pass unread."""
+    marks = _marks(rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("copy").alias("copy")))
 
     def run(batches):
-        table, bits = _table(levels), np.frombuffer(marks, dtype=np.uint64)
+        bits = np.frombuffer(marks, dtype=np.uint64)
         for batch in batches:
-            seen, out = set(), ([], [], [])
-            for text in batch.column(0).to_pylist():
-                own = shingle_set(text, size)
-                if not len(own):
-                    continue
-                prefix = ordered_prefix(own, table, 0, percent)
-                place = prefix >> np.uint64(64 - MARK_BITS)
-                prefix = prefix[(bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0]
-                smallest = (percent * len(own) + 99) // 100
-                if len(prefix) >= least_shared(smallest, percent) and (node := _node(own)) not in seen:
-                    seen.add(node)
-                    for values, value in zip(out, (node, prefix.view(np.int64), own.tobytes())):
-                        values.append(value)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], pa.int64()), pa.array(out[1], pa.list_(pa.int64())), pa.array(out[2], pa.binary())], names=["node", "shared", "tokens"])
+            place = batch.column(1).to_numpy().view(np.uint64) >> np.uint64(64 - MARK_BITS)
+            marked = (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0
+            found, held = {}, 0
+            for k in np.flatnonzero(marked):
+                own = shingle_set(batch.column(0)[k].as_py(), size)
+                if len(own) and (node := _node(own)) not in found:
+                    found[node] = own.tobytes()
+                    held += len(found[node])
+                    if held >= BLOCK_BYTES:
+                        yield _sets_record(found)
+                        found, held = {}, 0
+            yield _sets_record(found)
+
+    whole = docs.select("text", F.xxhash64("text").alias("copy")).mapInArrow(run, "node long, tokens binary")
+    # One row per node: copies in several batches repeat it.
+    return whole.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
+
 
-    return docs.select("text").mapInArrow(run, "node long, shared array<long>, tokens binary")
+def _sets_record(sets: dict[int, bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(sets.keys(), pa.int64()), pa.array(sets.values(), pa.binary())], names=["node", "tokens"])
 
 
-def _links(active: DataFrame, levels: bytes, percent: int, orders: int, every: bool = False) -> DataFrame:
+def _links(docs: DataFrame, rows: DataFrame, active: DataFrame, levels: bytes, percent: int, size: int, orders: int, every: bool = False) -> DataFrame:
     """(a, b) links that join all nodes which any chain of links joins; with ``every`` all links, each once and a < b."""
     postings = active.select(F.explode("shared").alias("token"), "node")
     members = staged(postings.join(_shared(postings), "token").select("hub", "node").distinct(), "groups")
-    marked = active.select("node", "shared", (F.length("tokens") / 8).cast("int").alias("n"))
-    members = staged(_with_partner(members, marked.groupBy("node").agg(F.first("shared").alias("shared"), F.first("n").alias("n")), percent), "partners")
-    # One row per node: copies in several batches repeat it.
-    sets = active.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
+    members = staged(_with_partner(members, active, percent), "partners")
+    sets = staged(_whole(docs, rows, members.select("node").distinct(), size), "whole")
     if every:
         return _all_pairs(members, sets, levels, percent, orders).distinct()
     # A node of a dense group has many hubs. Its smallest comes first; then only groups of nodes with different smallest hubs are left.
-    smallest = staged(members.groupBy("node").agg(F.min("hub").alias("smallest")), "smallest")
-    first = _resolved(smallest.select(F.col("smallest").alias("hub"), "node"), sets, levels, percent, orders)
-    mixed = members.join(smallest, "node").groupBy("hub").agg(F.min("smallest").alias("low"), F.max("smallest").alias("high")).where("low < high").select("hub")
+    smallest = staged(members.groupBy("node").agg(F.min("hub").alias("smallest"), F.first("n").alias("n")), "smallest")
+    first = _resolved(smallest.select(F.col("smallest").alias("hub"), "node", "n"), sets, levels, percent, orders)
+    mixed = members.join(smallest.select("node", "smallest"), "node").groupBy("hub").agg(F.min("smallest").alias("low"), F.max("smallest").alias("high")).where("low < high").select("hub")
     return first.unionByName(_resolved(members.join(mixed, "hub"), sets, levels, percent, orders))
 
 
 def _resolved(groups: DataFrame, sets: DataFrame, levels: bytes, percent: int, orders: int) -> DataFrame:
-    """Links (a, b) that join what the pairs within groups (hub, node) join, found in blocks of bounded size."""
-    filled = staged(groups.join(sets, "node").select("hub", "node", "tokens"), "filled")
-    blocks = filled.groupBy("hub").agg(F.min("node").alias("lead"), F.ceil(F.sum(F.length("tokens")) / BLOCK_BYTES).cast("int").alias("blocks"))
+    """Links (a, b) that join what the pairs within groups (hub, node, n) join, found in blocks of bounded size."""
+    groups = staged(groups.select("hub", "node", "n"), "members")
+    blocks = groups.groupBy("hub").agg(F.min("node").alias("lead"), _blocks().alias("blocks"))
     part = lambda by: F.pmod(F.xxhash64("node"), F.col(by)).cast("int")
-    grouped = filled.join(blocks, "hub")
-    leads = grouped.where("node = lead").select("hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("turn"), F.lit(True).alias("asks"), "node", "tokens")
-    rest = grouped.where("node <> lead").select("hub", part("blocks").alias("block"), F.lit(0).alias("turn"), F.lit(False).alias("asks"), "node", "tokens")
-    first = staged(_verified(leads.unionByName(rest), levels, percent, orders), "lead-links")
+    grouped = groups.join(blocks, "hub")
+    leads = grouped.where("node = lead").select("hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("turn"), F.lit(True).alias("asks"), "node")
+    rest = grouped.where("node <> lead").select("hub", part("blocks").alias("block"), F.lit(0).alias("turn"), F.lit(False).alias("asks"), "node")
+    first = staged(_verified(leads.unionByName(rest).join(sets, "node"), levels, percent, orders), "lead-links")
     # What the lead of its group does not link asks the whole group.
     linked = first.select(F.col("a").alias("lead"), F.col("b").alias("node")).distinct()
     asking = grouped.where("node <> lead").join(linked, ["lead", "node"], "left_anti")
-    turns = asking.groupBy("hub").agg(F.ceil(F.sum(F.length("tokens")) / BLOCK_BYTES).cast("int").alias("turns"))
+    turns = asking.groupBy("hub").agg(_blocks().alias("turns"))
     asks = asking.join(turns, "hub").select(
-        "hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), part("turns").alias("turn"), F.lit(True).alias("asks"), "node", "tokens")
+        "hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), part("turns").alias("turn"), F.lit(True).alias("asks"), "node")
     asked = grouped.where("node <> lead").join(turns, "hub").select(
-        "hub", part("blocks").alias("block"), F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), F.lit(False).alias("asks"), "node", "tokens")
-    return first.unionByName(_verified(asks.unionByName(asked), levels, percent, orders))
+        "hub", part("blocks").alias("block"), F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), F.lit(False).alias("asks"), "node")
+    return first.unionByName(_verified(asks.unionByName(asked).join(sets, "node"), levels, percent, orders))
 
 
 def _all_pairs(groups: DataFrame, sets: DataFrame, levels: bytes, percent: int, orders: int) -> DataFrame:
-    """Every link a < b within groups (hub, node), each part of a group against each part; a pair of several groups comes from each of them."""
-    filled = staged(groups.join(sets, "node").select("hub", "node", "tokens"), "filled")
-    blocks = filled.groupBy("hub").agg(F.ceil(F.sum(F.length("tokens")) / BLOCK_BYTES).cast("int").alias("blocks"))
+    """Every link a < b within groups (hub, node, n), each part of a group against each part; a pair of several groups comes from each of them."""
+    blocks = groups.groupBy("hub").agg(_blocks().alias("blocks"))
     part, each = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    grouped = filled.join(blocks, "hub")
-    asks = grouped.select("hub", each.alias("block"), part.alias("turn"), F.lit(True).alias("asks"), "node", "tokens")
-    answers = grouped.select("hub", part.alias("block"), each.alias("turn"), F.lit(False).alias("asks"), "node", "tokens")
-    return _verified(asks.unionByName(answers), levels, percent, orders, every=True)
+    grouped = groups.join(blocks, "hub")
+    asks = grouped.select("hub", each.alias("block"), part.alias("turn"), F.lit(True).alias("asks"), "node")
+    answers = grouped.select("hub", part.alias("block"), each.alias("turn"), F.lit(False).alias("asks"), "node")
+    return _verified(asks.unionByName(answers).join(sets, "node"), levels, percent, orders, every=True)
+
+
+def _blocks():
+    """How many blocks the sets of a group fill: eight bytes a token."""
+    return F.ceil(F.sum(F.col("n") * 8) / BLOCK_BYTES).cast("int")
 
 
-def _with_partner(members: DataFrame, marked: DataFrame, percent: int) -> DataFrame:
-    """The members (hub, node) that may have a partner in their group, judged by the marked tokens of their prefixes.
+def _with_partner(members: DataFrame, active: DataFrame, percent: int) -> DataFrame:
+    """The members (hub, node, n) that may have a partner in their group, judged by the shared tokens of their prefixes.
 
     The hub stays if any member does. A group beyond one block is passed on whole: its pairs are checked in blocks later.
     """
@@ -316,13 +351,13 @@ def _with_partner(members: DataFrame, marked: DataFrame, percent: int) -> DataFr
                     keep[k] = True
         if keep.any():
             keep |= frame["node"].to_numpy() == frame["hub"].to_numpy()
-        return frame.loc[keep, ["hub", "node"]]
+        return frame.loc[keep, ["hub", "node", "n"]]
 
-    filled = members.join(marked, "node")
-    large = members.join(marked.select("node", F.size("shared").alias("tokens")), "node").groupBy("hub").agg(
+    filled = members.join(active, "node")
+    large = members.join(active.select("node", F.size("shared").alias("tokens")), "node").groupBy("hub").agg(
         (F.sum("tokens") * 8 > BLOCK_BYTES).alias("large"))
     sized = filled.join(large, "hub")
-    return sized.where("not large").groupBy("hub").applyInPandas(run, "hub long, node long").unionByName(sized.where("large").select("hub", "node"))
+    return sized.where("not large").groupBy("hub").applyInPandas(run, "hub long, node long, n long").unionByName(sized.where("large").select("hub", "node", "n"))
 
 
 def _verified(rows: DataFrame, levels: bytes, percent: int, orders: int, every: bool = False) -> DataFrame:

@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 
+from metroscope.llm import jaccard_join
 from metroscope.llm.components import _large_star, _small_star, connected_components
 from metroscope.llm.jaccard_join import LEVEL_BITS, least_shared, linked_pairs, ordered_prefix, similar_components, similar_link_counts, similar_links
 from metroscope.llm.words import shingle_set, word_hashes
@@ -108,6 +109,39 @@ def test_prefixes_lose_no_linked_pair():
             assert [h.tolist() for _, h in linked_pairs([a], [b], levels, 80, 3)] == [[0]]
 
 
+@pytest.mark.parametrize("bits", [8, 26])
+def test_documents_that_share_little_stay_behind(spark, monkeypatch, bits):
+    """However many tokens a corpus shares for the size of its bitmap, its other documents do not become candidates."""
+    monkeypatch.setattr(jaccard_join, "MARK_BITS", bits)
+    base = awkward.prose(1, 300)
+    near = [(k, awkward.edited(base, k, 2)) for k in range(20)]
+    alone = [(100 + k, awkward.prose(500 + k, 300)) for k in range(60)]
+    docs = spark.createDataFrame(near + alone, "doc_id long, text string").repartition(3)
+    rows, active, _ = jaccard_join._prepared(docs, 80, 5)
+    of = {r["node"]: r["doc_id"] for r in rows.collect()}
+    found = [of[r["node"]] for r in active.collect()]
+    assert len(found) >= 20 and set(found) == set(range(20))
+    assert result(similar_components(docs)) == brute(near + alone)
+
+
+@pytest.mark.parametrize("batch", [1, 3, 10_000])
+def test_tokens_of_several_nodes(spark, batch):
+    """Copies of a posting do not make its token shared; one that goes on over many batches is."""
+    rng = random.Random(batch)
+    rows = [(rng.randint(-40, 40), rng.randint(0, 3)) for _ in range(90)] + [(7, 5)] * 9 + [(60, 1)] * 8 + [(61, k // 4) for k in range(40)] + [(62, 2)] * 7 + [(62, 3)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        found = [tuple(r) for r in jaccard_join._met_again(spark.createDataFrame(rows, "token long, node long")).collect()]
+        assert jaccard_join._met_again(spark.createDataFrame([], "token long, node long")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    nodes = collections.defaultdict(set)
+    for token, node in rows:
+        nodes[token].add(node)
+    assert set(found) == {(t, n) for t, n in rows if len(nodes[t]) > 1} and len(nodes[60]) == 1
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(0, 60)] + [(100, 101), (101, 100), (200, 200), (300, 299), (300, 298)]
     found = {r["node"]: r["label"] for r in connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
