@@ -17,12 +17,12 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     be split. Each round is written to the shared folder. Loops and repeated edges do no harm; an
     empty table gives an empty one.
     """
-    current = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    current = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", drop=True)
     mark = _mark(current)
     for _ in range(rounds):
         if not mark[0]:
             break
-        current = staged(_small_star(_large_star(current)), "edges")
+        current = staged(_small_star(_large_star(current)), "edges", drop=True)
         before, mark = mark, _mark(current)
         if before == mark:
             break

@@ -107,7 +107,7 @@ def similar_link_counts(docs: DataFrame, percent: int = 80, size: int = 5, order
     A row without shingles has no links.
     """
     rows, active, levels = _prepared(docs, percent, size)
-    pairs = staged(_links(docs, rows, active, levels, percent, size, orders, every=True), "pairs")
+    pairs = staged(_links(docs, rows, active, levels, percent, size, orders, every=True), "pairs", drop=True)
     nodes = _copies(rows)
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     beside = both.join(nodes.select(F.col("node").alias("b"), "copies"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("beside"))
@@ -121,7 +121,7 @@ def _prepared(docs: DataFrame, percent: int, size: int) -> tuple[DataFrame, Data
     hashed = staged(_hashed(docs, size), "sets")
     levels = _levels(hashed.where("token is not null"))
     rows = hashed.where("token is null").select("doc_id", "node", "n", "copy")
-    return rows, staged(_active(rows, _postings(docs, levels, percent, size), percent), "active"), levels
+    return rows, staged(_active(rows, _postings(docs, levels, percent, size), percent), "active", drop=True), levels
 
 
 def _copies(rows: DataFrame) -> DataFrame:
@@ -169,7 +169,7 @@ def _hashed(docs: DataFrame, size: int) -> DataFrame:
 
 def _levels(repeats: DataFrame) -> bytes:
     """Frequency levels (log2 of the count) by leading token bits; at most LEVEL_TOKENS tokens, the most frequent, get one."""
-    counted = staged(repeats.groupBy("token").agg(F.log2(F.sum("df")).cast("int").alias("level")), "levels")
+    counted = staged(repeats.groupBy("token").agg(F.log2(F.sum("df")).cast("int").alias("level")), "levels", drop=True)
     least, total = 64, 0
     for row in sorted(counted.groupBy("level").count().collect(), key=lambda r: -r["level"]):  # one row per level, 64 at most
         total += row["count"]
@@ -284,13 +284,13 @@ def _sets_record(sets: dict[int, bytes]) -> pa.RecordBatch:
 def _links(docs: DataFrame, rows: DataFrame, active: DataFrame, levels: bytes, percent: int, size: int, orders: int, every: bool = False) -> DataFrame:
     """(a, b) links that join all nodes which any chain of links joins; with ``every`` all links, each once and a < b."""
     postings = active.select(F.explode("shared").alias("token"), "node")
-    members = staged(postings.join(_shared(postings), "token").select("hub", "node").distinct(), "groups")
-    members = staged(_with_partner(members, active, percent), "partners")
-    sets = staged(_whole(docs, rows, members.select("node").distinct(), size), "whole")
+    members = staged(postings.join(_shared(postings), "token").select("hub", "node").distinct(), "groups", drop=True)
+    members = staged(_with_partner(members, active, percent), "partners", drop=True)
+    sets = staged(_whole(docs, rows, members.select("node").distinct(), size), "whole", drop=True)
     if every:
         return _all_pairs(members, sets, levels, percent, orders).distinct()
     # A node of a dense group has many hubs. Its smallest comes first; then only groups of nodes with different smallest hubs are left.
-    smallest = staged(members.groupBy("node").agg(F.min("hub").alias("smallest"), F.first("n").alias("n")), "smallest")
+    smallest = staged(members.groupBy("node").agg(F.min("hub").alias("smallest"), F.first("n").alias("n")), "smallest", drop=True)
     first = _resolved(smallest.select(F.col("smallest").alias("hub"), "node", "n"), sets, levels, percent, orders)
     mixed = members.join(smallest.select("node", "smallest"), "node").groupBy("hub").agg(F.min("smallest").alias("low"), F.max("smallest").alias("high")).where("low < high").select("hub")
     return first.unionByName(_resolved(members.join(mixed, "hub"), sets, levels, percent, orders))
@@ -298,13 +298,13 @@ def _links(docs: DataFrame, rows: DataFrame, active: DataFrame, levels: bytes, p
 
 def _resolved(groups: DataFrame, sets: DataFrame, levels: bytes, percent: int, orders: int) -> DataFrame:
     """Links (a, b) that join what the pairs within groups (hub, node, n) join, found in blocks of bounded size."""
-    groups = staged(groups.select("hub", "node", "n"), "members")
+    groups = staged(groups.select("hub", "node", "n"), "members", drop=True)
     blocks = groups.groupBy("hub").agg(F.min("node").alias("lead"), _blocks().alias("blocks"))
     part = lambda by: F.pmod(F.xxhash64("node"), F.col(by)).cast("int")
     grouped = groups.join(blocks, "hub")
     leads = grouped.where("node = lead").select("hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("turn"), F.lit(True).alias("asks"), "node")
     rest = grouped.where("node <> lead").select("hub", part("blocks").alias("block"), F.lit(0).alias("turn"), F.lit(False).alias("asks"), "node")
-    first = staged(_verified(leads.unionByName(rest).join(sets, "node"), levels, percent, orders), "lead-links")
+    first = staged(_verified(leads.unionByName(rest).join(sets, "node"), levels, percent, orders), "lead-links", drop=True)
     # What the lead of its group does not link asks the whole group.
     linked = first.select(F.col("a").alias("lead"), F.col("b").alias("node")).distinct()
     asking = grouped.where("node <> lead").join(linked, ["lead", "node"], "left_anti")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import collections
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ import pytest
 from metroscope.llm import jaccard_join
 from metroscope.llm.components import _large_star, _small_star, connected_components
 from metroscope.llm.jaccard_join import LEVEL_BITS, least_shared, linked_pairs, ordered_prefix, similar_components, similar_link_counts, similar_links
+from metroscope.llm.storage import DROP, staged
 from metroscope.llm.words import shingle_set, word_hashes
 
 from . import awkward
@@ -142,6 +144,23 @@ def test_tokens_of_several_nodes(spark, batch):
     assert set(found) == {(t, n) for t, n in rows if len(nodes[t]) > 1} and len(nodes[60]) == 1
 
 
+def test_a_stage_leaves_no_shuffle_files(spark):
+    """Disk does not depend on when the driver collects its garbage."""
+    blocks = lambda: {str(x) for x in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()) if x.isShuffle()}
+    frame = spark.range(1000).groupBy("id").count().repartition("count")
+    before, was = blocks(), spark.conf.get(DROP, None)
+    assert staged(frame, "kept").count() == 1000 and blocks() - before
+    before = blocks()
+    dropped = staged(frame, "dropped", drop=True)
+    for _ in range(50):
+        if not blocks() - before:
+            break
+        time.sleep(0.1)
+    assert not blocks() - before and spark.conf.get(DROP, None) == was
+    assert dropped.where("count = 1").count() == 1000
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(0, 60)] + [(100, 101), (101, 100), (200, 200), (300, 299), (300, 298)]
     found = {r["node"]: r["label"] for r in connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
